@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -43,3 +46,11 @@ class Folder:
             self._fs.delete(draft, False)
             return False
         return True
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for written intermediate tables: in the cluster's shared checkpoint folder where one is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix=f"{name}-")
