@@ -46,9 +46,13 @@ def _range(df: DataFrame, width: Width, ts: str, dtype: T.DataType, start: Any,
     return bucket_index_at(low, width), bucket_index_at(high, width)
 
 
-def _known(name: str, when: Column) -> Column:
+def _point(at: str, value: str) -> Column:
+    return F.struct(F.col(at).alias("at"), F.col(value).alias("value"))
+
+
+def _known(name: str) -> Column:
     """(bucket number, value) of a row whose value is known, else null."""
-    return F.when(F.col(name).isNotNull(), F.struct(when.alias("at"), F.col(name).alias("value")))
+    return F.when(F.col(name).isNotNull(), _point(INDEX, name))
 
 
 def _with_carries(
@@ -56,20 +60,32 @@ def _with_carries(
 ) -> DataFrame:
     """Adds the known values on both sides of each block, and a row for every block that has none."""
     blocks = (last - first) // block_size + 1
-    aggs = [F.max_by(_known(c, F.col(INDEX)), F.when(F.col(c).isNotNull(), F.col(INDEX))).alias(f"__last_{c}") for c in filled]
-    aggs += [F.min_by(_known(c, F.col(INDEX)), F.when(F.col(c).isNotNull(), F.col(INDEX))).alias(f"__first_{c}") for c in filled]
+    aggs = []
+    for c in filled:
+        known_at = F.when(F.col(c).isNotNull(), F.col(INDEX))
+        aggs += [F.max(known_at).alias(f"__last_at_{c}"), F.max_by(c, known_at).alias(f"__last_value_{c}")]
+        aggs += [F.min(known_at).alias(f"__first_at_{c}"), F.min_by(c, known_at).alias(f"__first_value_{c}")]
+    # The summary reads every column of the rows, not only those it needs. So it has the same input as the rows
+    # themselves, Spark reuses that shuffle, and the raw table is scanned once.
+    every = F.max(F.xxhash64(*[F.col(c).isNull() for c in rows.columns])).alias("__every")
     along = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(_BLOCK)
+    back = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(F.desc(_BLOCK))
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    later = along.rowsBetween(1, Window.unboundedFollowing)
-    summary = rows.groupBy(*keys, _BLOCK).agg(F.count("*").alias("__rows"), *aggs)
-    summary = summary.select(
+    later = back.rowsBetween(Window.unboundedPreceding, -1)
+    summary = rows.groupBy(*keys, _BLOCK).agg(every, *aggs).where(F.col("__every").isNotNull())
+    sides = [
+        F.when(F.col(f"__{side}_at_{c}").isNotNull(), _point(f"__{side}_at_{c}", f"__{side}_value_{c}")).alias(f"__{side}_{c}")
+        for c in filled
+        for side in ("last", "first")
+    ]
+    summary = summary.select(*keys, _BLOCK, *sides).select(
         *keys,
         _BLOCK,
         F.lead(_BLOCK).over(along).alias("__next_block"),
         F.lag(_BLOCK).over(along).isNull().alias("__is_first"),
         *[F.col(f"__{side}_{c}") for c in filled for side in ("last", "first")],
         *[F.last(f"__last_{c}", ignorenulls=True).over(earlier).alias(f"__before_{c}") for c in filled],
-        *[F.first(f"__first_{c}", ignorenulls=True).over(later).alias(f"__after_{c}") for c in filled],
+        *[F.last(f"__first_{c}", ignorenulls=True).over(later).alias(f"__after_{c}") for c in filled],
     )
     carries = [f"__{side}_{c}" for c in filled for side in ("before", "after")]
     with_carries = (
@@ -167,8 +183,9 @@ def gapfill(
 
     along = Window.partitionBy(*keys, _BLOCK).orderBy(INDEX)
     upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = along.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    strictly = along.rowsBetween(1, Window.unboundedFollowing)
+    # Looking ahead means looking back in reverse order: Spark grows a frame that starts at the partition's start row by
+    # row, but evaluates one that ends at the partition's end anew for every row.
+    ahead = Window.partitionBy(*keys, _BLOCK).orderBy(F.desc(INDEX)).rowsBetween(Window.unboundedPreceding, -1)
     block_start = F.col(_BLOCK) * F.lit(block_size) + F.lit(first)
     block_stop = F.least(block_start + F.lit(block_size), F.lit(last + 1).cast("bigint"))
     windowed = [
@@ -176,11 +193,10 @@ def gapfill(
         F.when(F.lag(INDEX).over(along).isNull(), block_start).otherwise(F.col(INDEX)).alias(_FROM),
     ]
     for c in filled:
-        known = _known(c, F.col(INDEX))
+        known = _known(c)
         windowed.append(F.last(known, ignorenulls=True).over(upto).alias(f"__upto_{c}"))
         if c in interpolate:
-            windowed.append(F.first(known, ignorenulls=True).over(onward).alias(f"__onward_{c}"))
-            windowed.append(F.first(known, ignorenulls=True).over(strictly).alias(f"__strictly_{c}"))
+            windowed.append(F.last(known, ignorenulls=True).over(ahead).alias(f"__ahead_{c}"))
     dense = (
         rows.select("*", *windowed)
         .where(F.col(_FROM) < F.col(_NEXT))
@@ -199,7 +215,7 @@ def gapfill(
         previous = carried("before", c, F.when(at >= own, F.col(f"__upto_{c}")))
         if c in locf:
             return F.coalesce(seen, previous["value"]).alias(c)
-        following = F.when(at < own, F.col(f"__onward_{c}")).otherwise(F.col(f"__strictly_{c}"))
+        following = F.coalesce(F.when(at < own, _known(c)), F.col(f"__ahead_{c}"))
         following = carried("after", c, following)
         t, t0, t1 = (index_position(i, width).cast("double") for i in (at, previous["at"], following["at"]))
         y0, y1 = previous["value"].cast("double"), following["value"].cast("double")
