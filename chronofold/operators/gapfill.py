@@ -67,7 +67,8 @@ def _with_carries(
         aggs += [F.min(known_at).alias(f"__first_at_{c}"), F.min_by(c, known_at).alias(f"__first_value_{c}")]
     # The summary reads every column of the rows, not only those it needs. So it has the same input as the rows
     # themselves, Spark reuses that shuffle, and the raw table is scanned once.
-    every = F.max(F.xxhash64(*[F.col(c).isNull() for c in rows.columns])).alias("__every")
+    hashable = [name for name, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+    every = F.max(F.xxhash64(*hashable)).alias("__every")
     along = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(_BLOCK)
     back = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(F.desc(_BLOCK))
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
