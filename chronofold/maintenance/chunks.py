@@ -17,7 +17,7 @@ from chronofold.functions.buckets import INTEGER_TYPES, check_width, index_of_po
 from chronofold.functions.widths import Width, as_instant, before, parse_width
 from chronofold.operators.ordering import order_columns
 from chronofold.plans.spec import TableSpec, check_skip_column
-from chronofold.sources.hypertable import commit, read_picked, write_generation
+from chronofold.sources.hypertable import commit, pick, read_picked, write_generation
 from chronofold.sources.manifest import Table, TableError
 
 # How chunks are relabelled: (start, end) columns in, (start, end) columns out.
@@ -58,7 +58,7 @@ def rewrite(
 ) -> Table:
     """Write the chunks that meet a condition again and publish them in place of the old ones."""
     labels = [c.alias(n) for c, n in zip(relabel(F.col("chunk"), F.col("until")), ("to_chunk", "to_until"), strict=True)]
-    picked = table.chunks().where(chosen).select("*", *labels).collect()
+    picked = pick(table, chosen, *labels)
     if not picked:
         return table.publish(**changes) if changes else table
     written = []
@@ -72,7 +72,7 @@ def rewrite(
         written.append(_with_ranges(table, new, mine))
     result = commit(table, written, table.chunks().where(~chosen), sum(row["rows"] for row in picked), **changes)
     if purge:
-        result.purge()
+        result.discard(picked)
     return result
 
 
@@ -188,14 +188,15 @@ def drop_chunks(spark: SparkSession, path: str, older_than: Any = None, now: Any
     parse_width(age)
     limit = cutoff(table, age, now)
     old = F.col("hi") <= limit
-    dropped_until = table.chunks().where(old).agg(F.max("hi")).first()[0]
-    if dropped_until is None:
+    picked = pick(table, old)
+    if not picked:
         return
-    known = table.state.dropped_until
-    dropped_until = dropped_until if known is None else max(known, dropped_until)
-    result = commit(table, [], table.chunks().where(~old), dropped_until=dropped_until)
+    ends = [row["hi"] for row in picked]
+    if table.state.dropped_until is not None:
+        ends.append(table.state.dropped_until)
+    result = commit(table, [], table.chunks().where(~old), dropped_until=max(ends))
     if purge:
-        result.purge()
+        result.discard(picked)
 
 
 def enable_chunk_skipping(spark: SparkSession, path: str, column: str) -> None:

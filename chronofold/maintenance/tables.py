@@ -11,9 +11,10 @@ from chronofold.maintenance.chunks import decompress, forget_stats
 from chronofold.plans.changes import DECOMPRESS, REBUILD, SET_SPEC, RebuildRefused, plan_change
 from chronofold.plans.spec import TableSpec
 from chronofold.sources.hypertable import (
-    _create,
     commit,
-    read_chunks,
+    create_filled,
+    new_table,
+    read_live,
     with_chunk_columns,
     write_generation,
 )
@@ -43,9 +44,9 @@ def convert(df: DataFrame, path: str, spec: TableSpec, migrate_data: bool | None
     if not migrate:
         if not df.isEmpty():
             raise TableError("the table has rows, and migrate_data is off")
-        _create(df.limit(0), path, spec)
+        new_table(df.sparkSession, df.schema, path, spec).publish()
         return
-    _create(df, path, spec, expected=df.count())
+    create_filled(df, path, spec, expected=df.count())
 
 
 def rebuild(
@@ -64,7 +65,7 @@ def rebuild(
     layouts = (*state.layouts, tuple(spec.dims.items()))
     fresh = replace(state, spec=spec, layouts=layouts, dropped_until=dropped_until)
     target = replace(table, state=fresh)
-    rows = with_chunk_columns(read_chunks(table, table.chunks()), fresh)
+    rows = with_chunk_columns(read_live(table), fresh)
     total = table.chunks().agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     result = commit(target, [write_generation(target, rows, fresh.layout)], None, total)
     if purge:
@@ -83,7 +84,7 @@ def to_plain(
     table = Table.at(spark, path)
     if not (table.state.spec.rebuild_data if rebuild_data is None else rebuild_data):
         raise RebuildRefused("a rebuild copies every row, and rebuild_data is off")
-    rows = read_chunks(table, table.chunks())
+    rows = read_live(table)
     rows.write.mode("errorifexists").parquet(target)
     if verify:
         _compare(rows, spark.read.schema(table.state.schema).parquet(target), target)

@@ -12,7 +12,7 @@ from dataclasses import replace
 from graphlib import CycleError, TopologicalSorter
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from chronofold.functions.buckets import index_time, position, time_literal
@@ -21,10 +21,11 @@ from chronofold.maintenance.chunks import cutoff
 from chronofold.operators.bucketing import INDEX, group_by_index, time_type
 from chronofold.plans.spec import RollupSpec, SpecError
 from chronofold.sources.hypertable import (
-    _create,
     commit,
     conform,
-    read_chunks,
+    new_table,
+    pick,
+    read_picked,
     scan,
     with_chunk_columns,
     write_generation,
@@ -63,7 +64,7 @@ def create_rollup(spark: SparkSession, path: str, spec: RollupSpec, with_data: b
     if spec.time != source.state.spec.time:
         raise SpecError(f"a rollup buckets the time column of its source, {source.state.spec.time!r}")
     empty = aggregate(spark.createDataFrame([], source.state.schema), spec)
-    _create(empty.limit(0), path, spec.table_spec(), rollup=spec)
+    new_table(spark, empty.schema, path, spec.table_spec(), rollup=spec).publish()
     if with_data:
         refresh(spark, path)
 
@@ -89,7 +90,8 @@ def _replace_buckets(
 ) -> None:
     """Put fresh buckets in place of the stored ones in ``[lo, hi)``, except for stored buckets before ``frozen_until``."""
     touched = _touched(lo, hi)
-    stored = read_chunks(table, table.chunks().where(touched))
+    replaced = pick(table, touched)
+    stored = read_picked(table, replaced)
     bucket = F.col(spec.bucket)
     outside = F.lit(False)
     if lo is not None:
@@ -104,7 +106,7 @@ def _replace_buckets(
         early = fresh.where(bucket < frozen_end).join(frozen.select(spec.bucket).distinct(), spec.bucket, "left_anti")
         fresh = fresh.where(bucket >= frozen_end).unionByName(early)
         kept = kept.unionByName(frozen)
-    _publish(table, spec, conform(fresh, table.state.schema).unionByName(kept), touched, purge)
+    _publish(table, spec, conform(fresh, table.state.schema).unionByName(kept), touched, replaced if purge else [])
 
 
 def _touched(lo: int | None, hi: int | None) -> Column:
@@ -117,7 +119,7 @@ def _touched(lo: int | None, hi: int | None) -> Column:
     return found
 
 
-def _publish(table: Table, spec: RollupSpec, rows: DataFrame, touched: Column, purge: bool) -> None:
+def _publish(table: Table, spec: RollupSpec, rows: DataFrame, touched: Column, replaced: Sequence[Row]) -> None:
     def high_water(highest: int | None) -> dict[str, Any]:
         known = table.state.high_water
         if highest is None:
@@ -127,8 +129,7 @@ def _publish(table: Table, spec: RollupSpec, rows: DataFrame, touched: Column, p
 
     new = write_generation(table, with_chunk_columns(rows, table.state), table.state.layout)
     result = commit(table, [new], table.chunks().where(~touched), from_highest=high_water)
-    if purge:
-        result.purge()
+    result.discard(replaced)
 
 
 def upsert_buckets(spark: SparkSession, path: str, rows: DataFrame) -> None:
@@ -140,12 +141,13 @@ def upsert_buckets(spark: SparkSession, path: str, rows: DataFrame) -> None:
     if lowest is None:
         return
     touched = _touched(lowest, highest + 1)
-    stored = read_chunks(table, table.chunks().where(touched)).alias("stored")
+    replaced = pick(table, touched)
+    stored = read_picked(table, replaced).alias("stored")
     same = F.lit(True)
     for name in (spec.bucket, *spec.keys):
         same = same & F.col(f"stored.{name}").eqNullSafe(F.col(f"new.{name}"))
     kept = stored.join(rows.alias("new"), same, "left_anti")
-    _publish(table, spec, rows.unionByName(kept), touched, purge=True)
+    _publish(table, spec, rows.unionByName(kept), touched, replaced)
 
 
 def run_refresh_policy(spark: SparkSession, path: str, now: Any = None, purge: bool = True) -> None:
@@ -228,7 +230,7 @@ def redefine(spark: SparkSession, path: str, spec: RollupSpec, dependents: Seque
         high_water=None,
     )
     fresh = aggregate(_source_rows(spark, spec.source, None, None), spec)
-    _publish(replace(table, state=state), spec, fresh, F.lit(True), purge=True)
+    _publish(replace(table, state=state), spec, fresh, F.lit(True), pick(table, F.lit(True)))
     for name in order:
         refresh(spark, name)
     return True

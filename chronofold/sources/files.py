@@ -26,6 +26,16 @@ class Folder:
     def names(self, name: str = "") -> list[str]:
         return [s.getPath().getName() for s in self._fs.listStatus(self._path(name))] if self.exists(name) else []
 
+    def has(self, name: str, prefix: str) -> bool:
+        """Whether a folder has an entry with this prefix; looks at no more entries than it takes."""
+        if not self.exists(name):
+            return False
+        entries = self._fs.listStatusIterator(self._path(name))
+        while entries.hasNext():
+            if entries.next().getPath().getName().startswith(prefix):
+                return True
+        return False
+
     def delete(self, name: str = "") -> None:
         self._fs.delete(self._path(name), True)
 

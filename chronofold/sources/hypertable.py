@@ -78,7 +78,7 @@ def chunk_rows(table: Table, layout: int, gen: int, compressed: bool, skip_colum
     """
     state = table.state
     parts = table.partition_columns(layout)
-    if "_chunk" not in _partition_names(table, layout, gen):
+    if not table.folder.has(table.generation(layout, gen), "_chunk="):
         return table.chunks(0)
     stored = read_folders(table, layout, gen, [table.generation(layout, gen)])
     time = position(state.spec.time, state.time_type)
@@ -122,10 +122,6 @@ def chunk_rows(table: Table, layout: int, gen: int, compressed: bool, skip_colum
     )
 
 
-def _partition_names(table: Table, layout: int, gen: int) -> set[str]:
-    return {name.split("=")[0] for name in table.folder.names(table.generation(layout, gen))}
-
-
 def read_folders(table: Table, layout: int, gen: int | None, folders: Sequence[str]) -> DataFrame:
     """Stored rows of some folders of one layout, with their folder columns."""
     base = f"data/L{layout}" if gen is None else table.generation(layout, gen)
@@ -160,10 +156,10 @@ def commit(
     stored = sum(g["rows"] for g in generations if g["gen"] == version)
     if expected is not None and stored != expected:
         raise TableError(f"{stored} rows were written instead of {expected}; {table.path} is unchanged")
-    folders = {
-        f"{g['layout']}/{g['gen']}": g["folders"] if g["gen"] == version else table.folder_count(g["layout"], g["gen"])
-        for g in generations
-    }
+    folders = {}
+    for g in generations:
+        written = g["folders"] if g["gen"] == version else table.folders_written(g["layout"], g["gen"])
+        folders[f"{g['layout']}/{g['gen']}"] = (written, g["folders"])
     if from_highest is not None:
         changes.update(from_highest(max((g["highest"] for g in generations), default=None)))
     return table.publish(new_chunks=True, folders=folders, **changes)
@@ -171,16 +167,21 @@ def commit(
 
 def create_hypertable(df: DataFrame, path: str, spec: TableSpec) -> None:
     """Write a table cut into chunks by time and into hash partitions. Fails on a row without a time."""
-    _create(df, path, spec)
+    create_filled(df, path, spec)
 
 
-def _create(df: DataFrame, path: str, spec: TableSpec, expected: int | None = None, **state: Any) -> Table:
-    spec = spec.resolved(df.schema)
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
+def new_table(spark: SparkSession, columns: T.StructType, path: str, spec: TableSpec, **state: Any) -> Table:
+    """A table without chunks, not published yet."""
+    spec = spec.resolved(columns)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in columns.fields])
     fresh = State(spec=spec, schema=schema, layouts=(tuple(spec.dims.items()),), **state)
-    table = Table.new(df.sparkSession, path, fresh)
-    rows = write_generation(table, with_chunk_columns(df, fresh), fresh.layout)
-    return commit(table, [rows], None, expected)
+    return Table.new(spark, path, fresh)
+
+
+def create_filled(df: DataFrame, path: str, spec: TableSpec, expected: int | None = None) -> None:
+    table = new_table(df.sparkSession, df.schema, path, spec)
+    rows = write_generation(table, with_chunk_columns(df, table.state), table.state.layout)
+    commit(table, [rows], None, expected)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -209,15 +210,31 @@ def overlapping(lo: int | None, hi: int | None, low: str, high: str) -> Column:
     return found
 
 
-def read_chunks(table: Table, chosen: DataFrame) -> DataFrame:
-    """The rows of chosen chunks, given as manifest rows."""
-    return read_picked(table, chosen.select("layout", "gen", "chunk", "until", "buckets").collect())
+def pick(table: Table, condition: Column, *more: Column) -> list[Row]:
+    """Manifest rows that meet a condition, brought to the driver: one small row per chunk."""
+    return table.chunks().where(condition).select("*", *more).collect()
+
+
+def read_live(table: Table) -> DataFrame:
+    """All rows. A generation whose chunks are all live is read as one folder, without a look at its chunks."""
+    parts = [(layout, gen) for layout, gen, whole in table.generations() if not whole]
+    folders: dict[int, list[str]] = {}
+    for layout, gen, whole in table.generations():
+        if whole:
+            folders.setdefault(layout, []).append(table.generation(layout, gen))
+    if parts:
+        of_parts = F.lit(False)
+        for layout, gen in parts:
+            of_parts = of_parts | ((F.col("layout") == layout) & (F.col("gen") == gen))
+        for row in pick(table, of_parts):
+            folders.setdefault(row["layout"], []).append(table.chunk_folder(row["layout"], row["gen"], row))
+    return _union(table, [read_folders(table, layout, None, names) for layout, names in sorted(folders.items())])
 
 
 def read_picked(table: Table, picked: Sequence[Row], keep_folder_columns: bool = False) -> DataFrame:
     """The rows of picked chunks.
 
-    Only the chosen folders are listed and opened; a generation that is chosen as a whole is passed as one folder. The
+    Only the picked folders are listed and opened; a generation that is picked as a whole is passed as one folder. The
     folder columns are filtered as well, which shows as ``PartitionFilters``.
     """
     generations: dict[tuple[int, int], list[Row]] = {}
@@ -229,44 +246,50 @@ def read_picked(table: Table, picked: Sequence[Row], keep_folder_columns: bool =
         starts = [row["chunk"] for row in rows]
         low, high = span.get(layout, (starts[0], starts[0]))
         span[layout] = min(low, *starts), max(high, *starts)
-        whole = len(rows) == table.folder_count(layout, gen)
-        names = [table.generation(layout, gen)] if whole else [table.chunk_folder(layout, gen, r.asDict()) for r in rows]
+        whole = len(rows) == table.folders_written(layout, gen)
+        names = [table.generation(layout, gen)] if whole else [table.chunk_folder(layout, gen, row) for row in rows]
         folders.setdefault(layout, []).extend(names)
-    found: DataFrame | None = None
+    found = []
     for layout, names in sorted(folders.items()):
         low, high = span[layout]
         rows = read_folders(table, layout, None, names)
-        rows = rows.where((F.col("_chunk") >= low) & (F.col("_chunk") <= high))
-        rows = rows.drop("_gen") if keep_folder_columns else rows.select(*table.state.schema.names)
-        found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
-    if found is None:
-        schema = table.state.schema
+        found.append(rows.where((F.col("_chunk") >= low) & (F.col("_chunk") <= high)))
+    return _union(table, found, keep_folder_columns)
+
+
+def _union(table: Table, parts: Sequence[DataFrame], keep_folder_columns: bool = False) -> DataFrame:
+    schema = table.state.schema
+    if not parts:
         if keep_folder_columns:
             schema = T.StructType([*schema.fields, *partition_schema(table.partition_columns(table.state.layout))])
-        found = table.spark.createDataFrame([], schema)
-    return found
+        return table.spark.createDataFrame([], schema)
+    if not keep_folder_columns:
+        parts = [rows.select(*schema.names) for rows in parts]
+    found = parts[0]
+    for rows in parts[1:]:
+        found = found.unionByName(rows, allowMissingColumns=True)
+    return found.drop("_gen")
 
 
-def choose_chunks(
+def chunk_filter(
     table: Table,
     start: Any = None,
     end: Any = None,
     equals: Mapping[str, Any] | None = None,
     ranges: Mapping[str, tuple[Any, Any]] | None = None,
-) -> DataFrame:
-    """Manifest rows of the chunks that a scan with these filters has to open."""
+) -> Column:
+    """The chunks that a scan with these filters has to open, as a condition on manifest rows."""
     state = table.state
-    chunks = table.chunks()
     lo = None if start is None else as_instant(start)
     hi = None if end is None else as_instant(end)
-    chunks = chunks.where(overlapping(lo, hi, "min_time", "max_time"))
+    wanted = overlapping(lo, hi, "min_time", "max_time")
     sizes = {name: {n for dims in state.layouts for d, n in dims if d == name} for name in (equals or {})}
     for name, value in (equals or {}).items():
         typed = F.lit(value).cast(state.schema[name].dataType)
         for size in sizes[name]:
             layouts = [i for i, dims in enumerate(state.layouts) if (name, size) in dims]
             bucket = F.element_at("buckets", F.lit(name))
-            chunks = chunks.where(~F.col("layout").isin(layouts) | (bucket == hash_bucket(typed, size)))
+            wanted = wanted & (~F.col("layout").isin(layouts) | (bucket == hash_bucket(typed, size)))
     for name, (low, high) in (ranges or {}).items():
         kept = F.element_at("stats", F.lit(name))
         inside = F.lit(True)
@@ -274,8 +297,8 @@ def choose_chunks(
             inside = inside & (kept["hi"] >= as_instant(low))
         if high is not None:
             inside = inside & (kept["lo"] < as_instant(high))
-        chunks = chunks.where(kept.isNull() | kept["lo"].isNull() | inside)
-    return chunks
+        wanted = wanted & (kept.isNull() | kept["lo"].isNull() | inside)
+    return wanted
 
 
 def scan(
@@ -298,7 +321,9 @@ def scan(
     for name in [*(equals or {}), *(ranges or {})]:
         if name not in known:
             raise TableError(f"column {name!r} is not in {path}")
-    rows = read_chunks(table, choose_chunks(table, start, end, equals, ranges))
+    if start is None and end is None and not equals and not ranges:
+        return read_live(table)
+    rows = read_picked(table, pick(table, chunk_filter(table, start, end, equals, ranges)))
     time = F.col(state.spec.time)
     if start is not None:
         rows = rows.where(time >= time_literal(start, state.time_type))

@@ -14,10 +14,11 @@ number fails. The driver only ever sees manifest rows (one per chunk), never dat
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,8 +67,10 @@ class State:
     rollup: RollupSpec | None = None
     # End of the highest stored bucket of a rollup.
     high_water: int | None = None
-    # "layout/generation" -> number of chunk folders that the generation was written with.
-    folders: dict[str, int] = field(default_factory=dict)
+    # "layout/generation" -> number of chunk folders it was written with, and how many of them are live.
+    folders: dict[str, tuple[int, int]] = field(default_factory=dict)
+    # Version whose chunk rows were live before; readers that are under way may still use them.
+    previous_chunks: int = 0
 
     @property
     def time_type(self) -> T.DataType:
@@ -94,6 +97,7 @@ class State:
             "rollup": None if self.rollup is None else self.rollup.to_dict(),
             "high_water": self.high_water,
             "folders": self.folders,
+            "previous_chunks": self.previous_chunks,
         }
         return json.dumps(data, indent=1)
 
@@ -149,8 +153,13 @@ class Table:
     def generation(self, layout: int, gen: int) -> str:
         return f"data/L{layout}/_gen={gen}"
 
-    def folder_count(self, layout: int, gen: int) -> int | None:
-        return self.state.folders.get(f"{layout}/{gen}")
+    def folders_written(self, layout: int, gen: int) -> int:
+        return self.state.folders[f"{layout}/{gen}"][0]
+
+    def generations(self) -> list[tuple[int, int, bool]]:
+        """(layout, generation, whether all its chunk folders are live) of everything live."""
+        keys = [(*map(int, key.split("/")), written == live) for key, (written, live) in self.state.folders.items()]
+        return sorted(keys)
 
     def chunks(self, version: int | None = None) -> DataFrame:
         """The live chunks, one row per chunk folder."""
@@ -171,16 +180,31 @@ class Table:
         version = self.next_version
         state = replace(self.state, version=version, **changes)
         if new_chunks:
-            state = replace(state, chunks=version)
+            state = replace(state, chunks=version, previous_chunks=self.state.chunks)
         if not self.folder.publish_text(f"manifest/state-{version:08d}.json", state.to_json()):
             raise TableError(f"another writer published version {version} of {self.path}")
+        # The version before stays for readers that are under way.
+        if version > 2:
+            self.folder.delete(f"manifest/state-{version - 2:08d}.json")
+        if new_chunks and self.state.previous_chunks:
+            self.folder.delete(f"manifest/chunks-{self.state.previous_chunks:08d}")
         return replace(self, state=state)
 
+    def discard(self, replaced: Sequence[Row]) -> None:
+        """Delete the folders of chunks that the live manifest no longer names."""
+        generations: dict[tuple[int, int], list[Row]] = {}
+        for row in replaced:
+            generations.setdefault((row["layout"], row["gen"]), []).append(row)
+        for (layout, gen), rows in generations.items():
+            if f"{layout}/{gen}" not in self.state.folders:
+                self.folder.delete(self.generation(layout, gen))
+            else:
+                for row in rows:
+                    self.folder.delete(self.chunk_folder(layout, gen, row))
+
     def purge(self) -> None:
         """Delete data folders that no live chunk uses, and manifests of earlier versions."""
-        key = ["layout", "gen"]
-        live_rows = self.chunks().groupBy(*key).agg(F.count("*").alias("n")).collect()
-        live = {(r["layout"], r["gen"]): r["n"] == self.folder_count(r["layout"], r["gen"]) for r in live_rows}
+        live = {(layout, gen): whole for layout, gen, whole in self.generations()}
         for layout_name in self.folder.names("data"):
             layout = int(layout_name[1:])
             for gen_name in self.folder.names(f"data/{layout_name}"):
@@ -192,15 +216,15 @@ class Table:
                 else:
                     self._purge_chunks(layout, gen)
         for name in self.folder.names("manifest"):
-            number = name.split(".")[0].split("-")[1]
-            old_state = name.startswith("state-") and int(number) < self.state.version
-            old_chunks = name.startswith("chunks-") and int(number) < self.state.chunks
+            number = int(name.split(".")[0].split("-")[1])
+            old_state = name.startswith("state-") and number < self.state.version
+            old_chunks = name.startswith("chunks-") and number < self.state.chunks
             if old_state or old_chunks:
                 self.folder.delete(f"manifest/{name}")
 
     def _purge_chunks(self, layout: int, gen: int) -> None:
         rows = self.chunks().where((F.col("layout") == layout) & (F.col("gen") == gen)).select("chunk", "until", "buckets")
-        live = {self.chunk_folder(layout, gen, r.asDict()) for r in rows.collect()}
+        live = {self.chunk_folder(layout, gen, row) for row in rows.collect()}
         dead = [self.generation(layout, gen)]
         for _ in self.partition_columns(layout):
             dead = [f"{parent}/{name}" for parent in dead for name in self.folder.names(parent) if "=" in name]
@@ -208,7 +232,7 @@ class Table:
             if name not in live:
                 self.folder.delete(name)
 
-    def chunk_folder(self, layout: int, gen: int, row: dict[str, Any]) -> str:
+    def chunk_folder(self, layout: int, gen: int, row: Row) -> str:
         parts = [self.generation(layout, gen), f"_chunk={row['chunk']}", f"_until={row['until']}"]
         parts += [f"{dim_column(name)}={row['buckets'][name]}" for name in self.dims(layout)]
         return "/".join(parts)
