@@ -211,10 +211,11 @@ def daily_over_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- chunked tables -------------------------------------------------------------------------------------------------
 
 DAILY = TableSpec("ts", chunk="1 day")
+THREE_DAYS = TableSpec("ts", chunk="3 days")
 DAILY_BY_USER = TableSpec("ts", chunk=(3, "day"), dims={"user_id": 4})
 COMPRESSIBLE = TableSpec(
     "ts",
-    chunk="1 day",
+    chunk="3 days",
     segment_by=["event_type"],
     order_by=["ts DESC"],
     skip_columns=["event_id"],
@@ -230,7 +231,7 @@ def _stored(spark: SparkSession, sf_dir: str, spec: TableSpec) -> str:
 
 
 def scan_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cf.scan(spark, _stored(spark, sf_dir, DAILY), start="2024-01-05T06:00:00", end="2024-01-09")
+    return cf.scan(spark, _stored(spark, sf_dir, THREE_DAYS), start="2024-01-05T06:00:00", end="2024-01-09")
 
 
 def scan_hash_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,7 +254,7 @@ def integer_hypertable(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     path = scratch_folder(spark, "chronofold") + "/events"
-    cf.create_hypertable(events.where("ts < '2024-01-16'"), path, DAILY)
+    cf.create_hypertable(events.where("ts < '2024-01-16'"), path, THREE_DAYS)
     cf.append(events.where("ts >= '2024-01-16'"), path)
     return cf.scan(spark, path)
 
@@ -292,7 +293,7 @@ def columnstore_layout_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reordered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _stored(spark, sf_dir, TableSpec("ts", chunk="1 day", reorder_by=["user_id", "ts"]))
+    path = _stored(spark, sf_dir, TableSpec("ts", chunk="3 days", reorder_by=["user_id", "ts"]))
     cf.reorder(spark, path)
     return cf.scan(spark, path)
 
@@ -316,7 +317,7 @@ def retention_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retention_integer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "chronofold") + "/series"
     series = _events(spark, sf_dir).select(F.unix_seconds(F.col("ts").cast("timestamp")).alias("unix_seconds"), "value")
-    cf.create_hypertable(series, path, TableSpec("unix_seconds", chunk=86_400, drop_after=7 * 86_400))
+    cf.create_hypertable(series, path, TableSpec("unix_seconds", chunk=3 * 86_400, drop_after=7 * 86_400))
     cf.drop_chunks(spark, path, now=1_706_659_200)
     return cf.scan(spark, path)
 
@@ -329,7 +330,7 @@ def convert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def to_plain_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _stored(spark, sf_dir, DAILY)
+    path = _stored(spark, sf_dir, THREE_DAYS)
     plain = scratch_folder(spark, "chronofold") + "/plain"
     cf.to_plain(spark, path, plain)
     return spark.read.parquet(plain)
@@ -385,7 +386,7 @@ def _hourly(source: str, **changes) -> RollupSpec:
 
 
 def _rollup(spark: SparkSession, sf_dir: str, with_data: bool = False, **changes) -> str:
-    source = _stored(spark, sf_dir, DAILY)
+    source = _stored(spark, sf_dir, THREE_DAYS)
     path = source.removesuffix("events") + "hourly"
     cf.create_rollup(spark, path, _hourly(source, **changes), with_data=with_data)
     return path
@@ -434,7 +435,7 @@ def rollup_redefined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rollup_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _rollup(spark, sf_dir, with_data=True, chunk="1 day", drop_after="7 days")
+    path = _rollup(spark, sf_dir, with_data=True, chunk="3 days", drop_after="7 days")
     cf.drop_chunks(spark, path, now=NOW)
     return _rounded(cf.read_rollup(spark, path), "average")
 
@@ -603,6 +604,7 @@ def _bins_sql(lo: float, hi: float, n: int) -> str:
 
 _ALL_EVENTS = f"SELECT {EVENT_COLUMNS} FROM events"
 _DAY = "date_trunc('day', ts)"
+_KEPT = "time_bucket(INTERVAL '3 days', ts) + INTERVAL '3 days' > TIMESTAMP '2024-01-24'"
 _CHUNK_COLUMNS = "count(*) AS rows, min(ts) AS min_time, max(ts) AS max_time"
 
 
@@ -734,9 +736,11 @@ def oracle_sql() -> dict[str, str]:
                    row_number() OVER (PARTITION BY o_custkey ORDER BY urgency NULLS LAST, o_orderkey DESC) AS up
             FROM (SELECT *, nullif(o_orderpriority, '5-LOW') AS urgency FROM orders)
         """,
-        "retention_rows": f"{_ALL_EVENTS} WHERE ts >= TIMESTAMP '2024-01-24'",
+        # Whole chunks only: what is left is every chunk that ends after 2024-01-24.
+        "retention_rows": f"{_ALL_EVENTS} WHERE {_KEPT}",
         "retention_integer_rows": """
-            SELECT epoch_us(ts) // 1000000 AS unix_seconds, value FROM events WHERE ts >= TIMESTAMP '2024-01-24'
+            SELECT epoch_us(ts) // 1000000 AS unix_seconds, value FROM events
+            WHERE (epoch_us(ts) // 259200000000 + 1) * 259200 > 1706054400
         """,
         "convert_rows": "SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, l_returnflag FROM lineitem",
         "to_plain_rows": _ALL_EVENTS,
@@ -766,7 +770,7 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY 1
         """,
         "rollup_redefined": _hourly_sql("event_type <> 'error'", "2 hours", "round(sum(value), 2) AS total"),
-        "rollup_retention": _hourly_sql("ts >= TIMESTAMP '2024-01-24'"),
+        "rollup_retention": _hourly_sql(_KEPT),
         "rollup_after_source_retention": _hourly_sql(),
         "rollup_compressed": _hourly_sql(),
         "rollup_stream": _hourly_sql(
