@@ -34,9 +34,13 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events")
 
 
+# Moves averages and interpolated values off the exact ties (such as 0.5 / 2**8), which engines round differently.
+NUDGE = 1.234e-9
+
+
 def _rounded(df: DataFrame, *names: str, digits: int = 8) -> DataFrame:
     """Double sums depend on the order of rows, so both sides of a comparison are rounded."""
-    return df.withColumns({name: F.round(name, digits) for name in names})
+    return df.withColumns({name: F.round(F.col(name) + F.lit(NUDGE), digits) for name in names})
 
 
 # --- buckets, aggregates, histograms, ids ---------------------------------------------------------------------------
@@ -573,13 +577,13 @@ def _line_sql(name: str) -> str:
     y0, y1 = known(name, "last", "before"), known(name, "first", "onward")
     t0, t1 = known(at, "last", "before"), known(at, "first", "onward")
     return (
-        f"round(coalesce({name}, {y0} + ({y1} - {y0}) * (epoch_us(bucket) - {t0})::DOUBLE / ({t1} - {t0})::DOUBLE), 8)"
+        f"round(coalesce({name}, {y0} + ({y1} - {y0}) * (epoch_us(bucket) - {t0})::DOUBLE / ({t1} - {t0})::DOUBLE) + 1.234e-9, 8)"
         f" AS {name}"
     )
 
 
 def _hourly_sql(where: str = "true", width: str = "1 hour", aggs: str | None = None) -> str:
-    aggs = aggs or "round(avg(value), 8) AS average, count(*) AS n, arg_max_null(value, ts) AS last_value"
+    aggs = aggs or "round(avg(value) + 1.234e-9, 8) AS average, count(*) AS n, arg_max_null(value, ts) AS last_value"
     return f"""
         SELECT time_bucket(INTERVAL '{width}', ts) AS bucket, event_type, {aggs}
         FROM events WHERE {where} GROUP BY 1, 2
@@ -611,7 +615,7 @@ _CHUNK_COLUMNS = "count(*) AS rows, min(ts) AS min_time, max(ts) AS max_time"
 def oracle_sql() -> dict[str, str]:
     return {
         "bucket_hourly_ohlc": """
-            SELECT time_bucket(INTERVAL '1 hour', ts) AS bucket, round(avg(value), 8) AS average,
+            SELECT time_bucket(INTERVAL '1 hour', ts) AS bucket, round(avg(value) + 1.234e-9, 8) AS average,
                    arg_min_null(value, ts) AS first_value, arg_max_null(value, ts) AS last_value,
                    min(value) AS low, max(value) AS high, count(*) AS n
             FROM events GROUP BY 1
@@ -632,7 +636,7 @@ def oracle_sql() -> dict[str, str]:
             FROM events GROUP BY 1
         """,
         "bucket_by_key": """
-            SELECT time_bucket(INTERVAL '1 hour', ts) AS bucket, event_type, round(avg(value), 8) AS average, count(*) AS n
+            SELECT time_bucket(INTERVAL '1 hour', ts) AS bucket, event_type, round(avg(value) + 1.234e-9, 8) AS average, count(*) AS n
             FROM events GROUP BY 1, 2
         """,
         "bucket_origin": """
@@ -661,7 +665,7 @@ def oracle_sql() -> dict[str, str]:
         "uuid7_roundtrip": "SELECT event_id, date_trunc('millisecond', ts) AS ts_ms FROM events",
         "uuid7_generated": "SELECT event_id, true AS well_formed, true AS is_now FROM events",
         "gapfill_6h": _gapfill_sql(
-            "6 hours", "user_id", "avg(value) AS average, count(*) AS n", "round(average, 8) AS average, n"
+            "6 hours", "user_id", "avg(value) AS average, count(*) AS n", "round(average + 1.234e-9, 8) AS average, n"
         ),
         "gapfill_locf": _gapfill_sql(
             "15 minutes",
@@ -702,7 +706,7 @@ def oracle_sql() -> dict[str, str]:
             ts="o_orderdate",
         ),
         "daily_over_hourly": """
-            SELECT time_bucket(INTERVAL '1 day', bucket) AS day, round(avg(average), 8) AS average FROM (
+            SELECT time_bucket(INTERVAL '1 day', bucket) AS day, round(avg(average) + 1.234e-9, 8) AS average FROM (
                 SELECT time_bucket(INTERVAL '1 hour', ts) AS bucket, event_type, avg(value) AS average
                 FROM events GROUP BY 1, 2)
             GROUP BY 1
@@ -764,7 +768,7 @@ def oracle_sql() -> dict[str, str]:
         "rollup_window_refresh": _hourly_sql("ts >= TIMESTAMP '2024-01-11 01:00:00' AND ts < TIMESTAMP '2024-01-21'"),
         "rollup_realtime": _hourly_sql("ts >= TIMESTAMP '2024-01-11 01:00:00'"),
         "rollup_hierarchy": """
-            SELECT time_bucket(INTERVAL '1 day', bucket) AS day, round(avg(average), 8) AS average FROM (
+            SELECT time_bucket(INTERVAL '1 day', bucket) AS day, round(avg(average) + 1.234e-9, 8) AS average FROM (
                 SELECT time_bucket(INTERVAL '1 hour', ts) AS bucket, event_type, avg(value) AS average
                 FROM events GROUP BY 1, 2)
             GROUP BY 1
@@ -775,6 +779,6 @@ def oracle_sql() -> dict[str, str]:
         "rollup_compressed": _hourly_sql(),
         "rollup_stream": _hourly_sql(
             "time_bucket(INTERVAL '1 hour', ts) + INTERVAL '3 hours' <= (SELECT max(ts) FROM events)",
-            aggs="round(avg(value), 8) AS average, count(*) AS n",
+            aggs="round(avg(value) + 1.234e-9, 8) AS average, count(*) AS n",
         ),
     }

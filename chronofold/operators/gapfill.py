@@ -35,8 +35,7 @@ def _range(df: DataFrame, width: Width, ts: str, dtype: T.DataType, start: Any,
     low = None if start is None else as_instant(start)
     high = None if finish is None else as_instant(finish) - 1
     if low is None or high is None:
-        time = position(ts, dtype)
-        seen_low, seen_high = df.agg(F.min(time), F.max(time)).first()
+        seen_low, seen_high = df.agg(position(F.min(ts), dtype), position(F.max(ts), dtype)).first()
         low = seen_low if low is None else low
         high = seen_high if high is None else high
         if low is None or high is None:

@@ -81,18 +81,18 @@ def chunk_rows(table: Table, layout: int, gen: int, compressed: bool, skip_colum
     if not table.folder.has(table.generation(layout, gen), "_chunk="):
         return table.chunks(0)
     stored = read_folders(table, layout, gen, [table.generation(layout, gen)])
-    time = position(state.spec.time, state.time_type)
-    columns = [position(name, state.schema[name].dataType) for name in skip_columns]
+    time, time_type = state.spec.time, state.time_type
+    columns = [(name, state.schema[name].dataType) for name in skip_columns]
     # Each file has exactly one first row, so files and bytes need no second aggregation.
     first_row = F.col("_metadata.row_index") == 0
     per_chunk = stored.groupBy(*parts).agg(
         F.count("*").alias("rows"),
-        F.min(time).alias("min_time"),
-        F.max(time).alias("max_time"),
+        position(F.min(time), time_type).alias("min_time"),
+        position(F.max(time), time_type).alias("max_time"),
         F.count_if(first_row).alias("files"),
         F.sum(F.when(first_row, F.col("_metadata.file_size"))).alias("bytes"),
-        *[F.min(c).alias(f"min_{i}") for i, c in enumerate(columns)],
-        *[F.max(c).alias(f"max_{i}") for i, c in enumerate(columns)],
+        *[position(F.min(c), kind).alias(f"min_{i}") for i, (c, kind) in enumerate(columns)],
+        *[position(F.max(c), kind).alias(f"max_{i}") for i, (c, kind) in enumerate(columns)],
     )
 
     def as_map(pairs: list[Column], kind: str) -> Column:
