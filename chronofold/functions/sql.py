@@ -7,15 +7,21 @@ from pyspark.sql import SparkSession
 from chronofold.functions.buckets import require_utc
 from chronofold.functions.widths import CALENDAR_ORIGIN, CALENDAR_ORIGIN_YEAR, FIXED_ORIGIN, MICROS_PER_DAY
 
-_WIDTH_MICROS = (
+
+def _positive(width: str) -> str:
+    """With a constant width the optimizer folds the check away."""
+    return f"if({width} > 0, {width}, cast(raise_error('a width must be above zero') AS BIGINT))"
+
+
+_WIDTH_MICROS = _positive(
     "(extract(DAY FROM width) * 86400000000L + extract(HOUR FROM width) * 3600000000L"
     " + extract(MINUTE FROM width) * 60000000L + cast(extract(SECOND FROM width) * 1000000 AS BIGINT))"
 )
 _BACK = f"pmod(unix_micros(cast(ts AS TIMESTAMP)) - {FIXED_ORIGIN}L, {_WIDTH_MICROS})"
 _MONTHS = f"((year(ts) - {CALENDAR_ORIGIN_YEAR}) * 12 + month(ts) - 1)"
 _MONTH_START = (
-    f"add_months(DATE'{CALENDAR_ORIGIN}', cast({_MONTHS} - pmod({_MONTHS}, extract(YEAR FROM width) * 12"
-    " + extract(MONTH FROM width)) AS INT))"
+    f"add_months(DATE'{CALENDAR_ORIGIN}', cast({_MONTHS} - pmod({_MONTHS},"
+    f" {_positive('(extract(YEAR FROM width) * 12 + extract(MONTH FROM width))')}) AS INT))"
 )
 _DAYS = f"(datediff(day, DATE'1970-01-01') * {MICROS_PER_DAY}L - {FIXED_ORIGIN}L)"
 _NOISE = "substr(uuid(), 16)"
@@ -59,7 +65,7 @@ SQL_FUNCTIONS = {
         "DATE",
         _MONTH_START,
     ),
-    "time_bucket_int": ("width BIGINT, x BIGINT", "BIGINT", "x - pmod(x, width)"),
+    "time_bucket_int": ("width BIGINT, x BIGINT", "BIGINT", f"x - pmod(x, {_positive('width')})"),
     "generate_uuid7": ("", "STRING", _id("unix_millis(current_timestamp())")),
     "to_uuid7": (
         "ts TIMESTAMP",

@@ -167,6 +167,21 @@ def test_sql_functions(spark):
     ]
 
 
+@pytest.mark.parametrize(
+    "call",
+    [
+        "time_bucket(INTERVAL '-1' MINUTE, TIMESTAMP'2024-01-01')",
+        "time_bucket_ntz(INTERVAL '0' MINUTE, TIMESTAMP_NTZ'2024-01-01')",
+        "time_bucket_month(INTERVAL '-1' MONTH, TIMESTAMP'2024-01-01')",
+        "time_bucket_int(-5, 7)",
+    ],
+)
+def test_sql_widths_must_be_positive(spark, call):
+    cf.register(spark)
+    with pytest.raises(Exception, match="above zero"):
+        spark.sql(f"SELECT {call}").collect()
+
+
 def test_bucket_by_end_to_end_case(spark):
     rows = [("2026-06-01 10:00:00", "a", 10.0), ("2026-06-01 10:20:00", "a", 30.0), ("2026-06-01 10:40:00", "b", 50.0)]
     df = spark.createDataFrame(rows, "time string, device_id string, value double").withColumn("time", F.col("time").cast("timestamp"))
