@@ -50,7 +50,7 @@ def path(tmp_path):
     return str(tmp_path / "hourly")
 
 
-def test_reference_case(spark, tmp_path, path):
+def test_three_readings(spark, tmp_path, path):
     raw = str(tmp_path / "raw")
     cf.create_hypertable(readings(spark, READINGS), raw, TableSpec("time", chunk="1 day", dims={"device_id": 4}))
     cf.create_rollup(spark, path, hourly(raw, aggs={"average": "avg(value)"}))

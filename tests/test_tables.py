@@ -1,4 +1,4 @@
-"""Chunked tables: layout, pruning and every maintenance job, on whole driver tables and the small reference cases."""
+"""Chunked tables: layout, pruning and every maintenance job, on whole driver tables and small hand-made ones."""
 
 from datetime import datetime, timedelta
 
