@@ -20,6 +20,12 @@ import chronofold as cf  # noqa: E402
 from chronofold import RollupSpec, TableSpec  # noqa: E402
 from chronofold.sources.files import scratch_folder  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from chronofold.llm import queries as llm_queries  # noqa: E402
+except ImportError:  # the training-data operators are an optional part
+    corpus_pipeline = llm_queries = None
+
 NOW = datetime(2024, 1, 31)
 EVENT_COLUMNS = "event_id, ts, user_id, event_type, value, props"
 ORDER_COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -542,7 +548,10 @@ QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    found = {query.__name__: query for query in QUERIES}
+    if llm_queries:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def _gapfill_sql(width: str, key: str, aggs: str, filled: str, table: str = "events", ts: str = "ts") -> str:
@@ -613,7 +622,11 @@ _CHUNK_COLUMNS = "count(*) AS rows, min(ts) AS min_time, max(ts) AS max_time"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    """SQL for every query of the library itself, and for those of the optional part that SQL can express."""
+    more = dict(llm_queries.ORACLE_SQL) if llm_queries else {}
+    if llm_queries and corpus_pipeline.ORACLE_SQL:
+        more["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return more | {
         "bucket_hourly_ohlc": """
             SELECT time_bucket(INTERVAL '1 hour', ts) AS bucket, round(avg(value) + 1.234e-9, 8) AS average,
                    arg_min_null(value, ts) AS first_value, arg_max_null(value, ts) AS last_value,

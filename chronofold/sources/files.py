@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -59,8 +60,18 @@ class Folder:
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for written intermediate tables: in the cluster's shared checkpoint folder where one is set."""
+    """The name of a new folder for written intermediate tables that all executors see.
+
+    It lies in `spark.checkpoint.dir`, else in the context's checkpoint folder, else beside the warehouse's tables. Only a
+    local master, where there is one machine, gets a temporary folder where none of these is set.
+    """
+    name = f"{name}-{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    if not shared:
+        folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+        shared = folder.get() if folder.isDefined() else None
+    if not shared and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    if not shared:
+        return tempfile.mkdtemp(prefix=f"{name}-")
+    return f"{shared.rstrip('/')}/{name}"
