@@ -71,7 +71,8 @@ def slots(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     ranges = placed.groupBy("src", "range").agg(F.count("*").alias("n"))
     ranges = ranges.select("src", "range", F.coalesce(F.sum("n").over(before("range", by=("src",))), F.lit(0)).alias("start"))
     inside = F.row_number().over(Window.partitionBy("src", "range").orderBy("slot")) - 1
-    return placed.withColumn("inside", inside).join(ranges, ["src", "range"]).select(
+    # Sizes are estimated from the few sources that the slots unfold from: without the hints, joins would broadcast the mix.
+    return placed.withColumn("inside", inside).join(ranges.hint("merge"), ["src", "range"]).select(
         "slot", "src", (F.col("start") + F.col("inside")).alias("rank")
     )
 
@@ -121,7 +122,7 @@ def mix_sources(
     begin = F.greatest("start", F.col("rank") * block)
     stop = F.least("end", (F.col("rank") + 1) * block)
     pieces = pieces.select("id", "src", "offset", "rank", (begin - F.col("start")).alias("first_word"), (stop - begin).alias("words"))
-    taken = slots(targets, block).join(pieces, ["src", "rank"])
+    taken = slots(targets, block).hint("merge").join(pieces, ["src", "rank"])
     plan = taken.select("slot", "id", "first_word", "words")
     # Documents with words have offsets of their own; the others take nothing.
     sums = taken.groupBy("src", "offset").agg(F.sum("words").alias("taken"))
