@@ -21,12 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from chronofold.llm.common import batches, bounded_batches, materialized, row_key, whole_text
+from chronofold.llm.common import batches, bounded_batches, materialized, whole_text
 
 LENGTH, K = 50, 20
 COMMON = 1 << 14
@@ -180,7 +181,7 @@ def cut_out(text: bytes, marks: list[dict] | None, length: int) -> tuple[int, in
     return int(gone.sum()), spans, hashlib.sha256(rest).hexdigest()
 
 
-def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = LENGTH, k: int = K, common: int = COMMON) -> DataFrame:
+def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = LENGTH, k_run: int = K, common: int = COMMON) -> DataFrame:
     """One row per row of `df`: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A byte goes if a string of `length` bytes that covers it is also in a text with a smaller id; strings are judged on the
@@ -189,13 +190,11 @@ def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id", le
     """
     content = whole_text(text)
     ident = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
-    docs = df.select(
-        row_key(id_col, content).alias("key"), F.col(id_col).alias("doc_id"), ident.alias("id"), content.cast("binary").alias("text")
-    )
-    light = docs.select("key", "id", F.xxhash64("text").alias("unit"), F.sha2("text", 256).alias("sha"))
-    owners = light.groupBy("sha", "unit").agg(F.min(F.struct("id", "key")).alias("own"))
-    owners = materialized(owners.select("sha", "unit", F.col("own.id").alias("own_id"), F.col("own.key").alias("own_key")), "repeat-owners")
-    copies = light.join(owners, "sha").where("id > own_id").select("key").distinct()
+    # A text is named by its id and a hash, so rows that share an id are told apart.
+    docs = df.select(F.col(id_col).alias("doc_id"), ident.alias("id"), F.xxhash64(content).alias("unit"), content.cast("binary").alias("text"))
+    light = docs.select("id", "unit", F.sha2("text", 256).alias("sha"))
+    owners = materialized(light.groupBy("sha", "unit").agg(F.min("id").alias("own_id")), "repeat-owners")
+    copies = light.join(owners.drop("unit"), "sha").where("id > own_id").select("id", "unit").distinct()
 
     # 1. Anchors that more than one text has, as a list for each text.
     anchor_schema = StructType([StructField("unit", LongType()), StructField("anchor", LongType())])
@@ -207,72 +206,97 @@ def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id", le
             for unit, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if unit not in seen:
                     seen.add(unit)
-                    for found, _, _ in segments(content.as_py(), length, k):
+                    for found, _, _ in segments(content.as_py(), length, k_run):
                         found = np.unique(found)
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), unit)), pa.array(found)], schema=anchor_arrow)
 
-    pairs = bounded_batches(docs.select(F.xxhash64("text").alias("unit"), "text")).mapInArrow(anchors, anchor_schema)
+    pairs = bounded_batches(docs.select("unit", "text")).mapInArrow(anchors, anchor_schema)
     texts = Window.partitionBy("anchor")
     counted = pairs.select("unit", "anchor", *(f("unit").over(texts).alias(n) for n, f in (("low", F.min), ("high", F.max), ("n", F.count))))
     shared = counted.where("low <> high").groupBy("unit").agg(
         F.collect_set(F.when(F.col("n") <= common, F.col("anchor"))).alias("some"),
         F.collect_set(F.when(F.col("n") > common, F.col("anchor"))).alias("many"),
     )
-    lists = materialized(shared.join(owners, "unit").select(F.col("own_key").alias("key"), "own_id", "some", "many"), "repeat-anchors")
-
-    # 2. Their segments, indexed by anchor.
-    segment_schema = StructType(
-        [StructField("key", StringType())] + [StructField(c, LongType()) for c in ("own_id", "anchor", "start")] + [StructField("segment", BinaryType())]
-    )
-    segment_arrow = to_arrow_schema(segment_schema)
-
-    def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    lists = shared.join(owners, "unit").select(F.col("own_id").alias("id"), "unit", "some", "many")
+    lists = materialized(lists, "repeat-anchors")
+
+    # 2. Their segments, indexed by anchor. Segments that a batch has several times are one row.
+    part_schema = StructType([StructField(c, LongType()) for c in ("anchor", "least_id", "most_id")] + [StructField("segment", BinaryType())])
+    place_schema = StructType([StructField(c, LongType()) for c in ("id", "unit", "anchor", "content", "start", "windows")])
+    part_arrow, place_arrow = to_arrow_schema(part_schema), to_arrow_schema(place_schema)
+
+    def cut(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
+        """id, unit, anchors, starts, windows and segments of shared anchors, for a block of a text at a time."""
+        some, many = (batch.column(c) for c in ("some", "many"))
+        names = zip(batch.column("id").to_pylist(), batch.column("unit").to_pylist(), batch.column("text"))
+        for k, (ident, unit, content) in enumerate(names):
+            content = content.as_py()
+            whole_set, split_set = (np.sort(c[k].values.to_numpy(zero_copy_only=False)) for c in (some, many))
+            for found, first, windows in segments(content, length, k_run):
+                whole, split = (_among(found, c) for c in (whole_set, split_set))
+                starts, counts, anchor = first[whole], windows[whole], found[whole]
+                parts = [content[a : a + n + length - 1] for a, n in zip(starts.tolist(), counts.tolist())]
+                if split.any():
+                    singles = _unfolded(first[split], windows[split])
+                    more = [content[a : a + length] for a in singles.tolist()]
+                    anchor = np.concatenate((anchor, np.fromiter(map(_content_hash, more), np.int64, len(more))))
+                    starts, counts = np.concatenate((starts, singles)), np.concatenate((counts, np.ones(len(more), np.int64)))
+                    parts += more
+                yield ident, unit, anchor, starts, counts, parts
+
+    def parts_of(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            for row in batch.to_pylist():
-                content = row["text"]
-                some, many = (np.sort(np.array(row[c], np.int64)) for c in ("some", "many"))
-                for found, first, windows in segments(content, length, k):
-                    split, whole = (np.isin(found, c) for c in (many, some))
-                    places = np.concatenate((first[whole], _unfolded(first[split], windows[split])))
-                    counts = np.concatenate((windows[whole], np.ones(int(windows[split].sum()), np.int64)))
-                    parts = [content[a : a + n + length - 1] for a, n in zip(places.tolist(), counts.tolist())]
-                    dealt = np.concatenate((found[whole], np.fromiter(map(_content_hash, parts[int(whole.sum()) :]), np.int64)))
-                    n = len(parts)
-                    columns = [pa.array([row["key"]] * n, pa.string()), pa.array(np.full(n, row["own_id"])), pa.array(dealt), pa.array(places)]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(parts, pa.binary())], schema=segment_arrow)
-
-    dealt = docs.repartition("key")
-    pieces = dealt.select("key", "text").join(lists, "key").mapInArrow(cut, segment_schema)
+            held: dict[tuple[int, bytes], list[int]] = {}
+            for ident, _, anchor, _, _, parts in cut(batch):
+                for key in zip(anchor.tolist(), parts):
+                    ids = held.setdefault(key, [ident, ident])
+                    if ident != ids[0]:
+                        ids[0], ids[1] = min(ids[0], ident), max(ids[1], ident)
+            yield from batches(((a, *ids, part) for (a, part), ids in held.items()), part_arrow, 20_000)
+
+    def places_of(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for ident, unit, anchor, starts, counts, parts in cut(batch):
+                n = len(parts)
+                own = np.fromiter(map(_content_hash, parts), np.int64, n)
+                columns = (np.full(n, ident), np.full(n, unit), anchor, own, starts, counts)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=place_arrow)
+
+    dealt = docs.repartition("id", "unit")
+    chosen = dealt.select("id", "unit", "text").join(lists, ["id", "unit"])
     mark_schema = StructType([StructField(c, LongType()) for c in ("anchor", "content", "least_id", "bits")])
     mark_arrow = to_arrow_schema(mark_schema)
 
     def index(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def marked():
-            held, size, run = [], 0, None
+            held: dict[tuple[int, bytes], list[int]] = {}
+            size, run = 0, None
             for batch in stream:
-                for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    if row[0] != run:
+                for anchor, least, most, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if anchor != run:
                         if size > INDEX_BYTES:
                             yield from _marks(held, length)
-                            held, size = [], 0
-                        run = row[0]
-                    held.append(row)
-                    size += len(row[2])
+                            held, size = {}, 0
+                        run = anchor
+                    ids = held.get((anchor, part))
+                    if ids is None:
+                        held[anchor, part] = [least, most]
+                        size += len(part)
+                    else:
+                        ids[0], ids[1] = min(ids[0], least), max(ids[1], most)
             yield from _marks(held, length)
 
-        return batches(marked(), mark_arrow)
+        return batches(marked(), mark_arrow, 20_000)
 
-    once = pieces.groupBy("anchor", "segment").agg(F.min("own_id").alias("least_id"), F.count("*").alias("n"))
-    once = once.select("anchor", F.xxhash64("segment").alias("content"), "segment", "least_id", "n")
-    marks = once.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(index, mark_schema)
+    parts = chosen.mapInArrow(parts_of, part_schema).repartition("anchor").sortWithinPartitions("anchor")
+    marks = parts.mapInArrow(index, mark_schema)
 
     # 3. Marks back to their documents. Texts that have a smaller copy go whole.
-    places = pieces.select("key", "own_id", "anchor", F.xxhash64("segment").alias("content"), "start", (F.length("segment") - length + 1).alias("windows"))
-    bits = F.when(F.col("own_id") > F.col("least_id"), -1).otherwise(F.col("bits")).cast("long").alias("bits")
-    found = places.join(marks, ["anchor", "content"]).select("key", "start", F.col("windows").cast("long").alias("windows"), bits)
+    bits = F.when(F.col("id") > F.col("least_id"), -1).otherwise(F.col("bits")).cast("long").alias("bits")
+    found = chosen.mapInArrow(places_of, place_schema).join(marks, ["anchor", "content"]).select("id", "unit", "start", "windows", bits)
     whole = {"start": 0, "windows": LAST_ID >> 1, "bits": -1}
-    found = found.where("bits <> 0").unionByName(copies.select("key", *(F.lit(v).cast("long").alias(c) for c, v in whole.items())))
-    by_text = found.groupBy("key").agg(F.collect_list(F.struct("start", "windows", "bits")).alias("marks"))
+    found = found.where("bits <> 0").unionByName(copies.select("id", "unit", *(F.lit(v).cast("long").alias(c) for c, v in whole.items())))
+    by_text = found.groupBy("id", "unit").agg(F.collect_list(F.struct("start", "windows", "bits")).alias("marks"))
     numbers = [StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
     out_schema = StructType([StructField("doc_id", df.schema[id_col].dataType), *numbers, StructField("kept_sha256", StringType())])
     out_arrow = to_arrow_schema(out_schema)
@@ -283,7 +307,7 @@ def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id", le
             rows = ((i, len(t), *cut_out(t, m if len(t) >= length else None, length)) for i, t, m in table)
             yield from batches(rows, out_arrow)
 
-    joined = dealt.join(by_text, "key", "left").select("doc_id", "text", "marks")
+    joined = dealt.join(by_text, ["id", "unit"], "left").select("doc_id", "text", "marks")
     return joined.mapInArrow(rest, out_schema)
 
 
@@ -291,14 +315,23 @@ def _unfolded(first: np.ndarray, windows: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.cumsum(windows) + windows, windows) + np.arange(int(windows.sum()))
 
 
+def _among(found: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of `found` are in the sorted `known`."""
+    if not len(known):
+        return np.zeros(len(found), bool)
+    return known[np.searchsorted(known, found).clip(max=len(known) - 1)] == found
+
+
 def _content_hash(part: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True)
+    h = xxhash.xxh64_intdigest(part)
+    return h - (1 << 64) if h >> 63 else h
 
 
-def _marks(rows: list[tuple], length: int) -> Iterator[tuple]:
+def _marks(held: dict[tuple[int, bytes], list[int]], length: int) -> Iterator[tuple]:
     """(anchor, content, smallest id, bits) of segments that have something to remove."""
-    if rows:
-        bits = smaller_owners([r[2] for r in rows], np.array([r[3] for r in rows], np.int64), length)
-        for (anchor, content, _, least_id, n), own in zip(rows, bits.tolist()):
-            if own or n > 1:
-                yield anchor, content, least_id, own
+    if held:
+        least = np.fromiter((ids[0] for ids in held.values()), np.int64, len(held))
+        bits = smaller_owners([part for _, part in held], least, length)
+        for ((anchor, part), ids), own in zip(held.items(), bits.tolist()):
+            if own or ids[0] < ids[1]:
+                yield anchor, _content_hash(part), ids[0], own

@@ -136,7 +136,7 @@ def brute_repeats(pairs, length=50):
             if first[data[p : p + length]] < order(doc_id):
                 gone[p : p + length] = b"\1" * length
         rest = bytes(c for c, g in zip(data, gone) if not g)
-        out.append((doc_id, len(data), sum(gone), len(re.findall(rb"\1+", gone)), hashlib.sha256(rest).hexdigest()))
+        out.append((doc_id, len(data), sum(gone), len(re.findall(rb"\x01+", bytes(gone))), hashlib.sha256(rest).hexdigest()))
     return out
 
 
