@@ -23,10 +23,16 @@ RANGE = 256  # ids in a range
 LOW_BITS = 0xFFFFFFFF
 
 
-def inner_hashes(text: Column) -> Column:
-    """The hashes of all runs of S code points, in order. A search must not begin inside a surrogate pair."""
-    runs = F.regexp_extract_all(text, F.lit(r"(?s)(?![\uDC00-\uDFFF])(?=(.{%d}))" % S), F.lit(1))
-    return F.transform(runs, lambda run: F.xxhash64(run))
+def characters(text: Column) -> Column:
+    """The code points of a text; an empty pattern splits in linear time, which a search for runs does not."""
+    return F.split(text, "")
+
+
+def inner_hashes(chars: Column) -> Column:
+    """The hashes of all runs of S code points, in order."""
+    starts = F.sequence(F.lit(0), F.size(chars) - S)
+    hashes = F.transform(starts, lambda i: F.xxhash64(*(F.get(chars, i + k) for k in range(S))))
+    return F.when(F.size(chars) >= S, hashes).otherwise(F.array().cast("array<bigint>"))
 
 
 def anchor_places(inner: Column) -> Column:
@@ -82,7 +88,7 @@ def fingerprint_documents(df: DataFrame, text: str = "text", id_col: str = "doc_
     if they are equal. A single row is its own successor. Other columns are not read.
     """
     dealt = with_next(df, text, id_col).repartition("range")
-    marked = dealt.withColumn("inner", inner_hashes(F.col("text")))
+    marked = dealt.withColumn("chars", characters(F.col("text"))).withColumn("inner", inner_hashes(F.col("chars"))).drop("chars")
     marked = marked.withColumn("places", anchor_places(F.col("inner")))
     marked = marked.withColumn("hashes", anchor_hashes(F.col("inner"), F.col("places"))).drop("inner")
     marked = marked.withColumn("sketch", sketch(F.col("hashes"), F.col("text")))
@@ -90,7 +96,8 @@ def fingerprint_documents(df: DataFrame, text: str = "text", id_col: str = "doc_
     paired = marked.select("*", *(F.lead(c).over(following).alias(f"next_{c}") for c in ("text", "places", "hashes", "sketch"))).where("guard = 0")
     n = F.length("text")
     cut = paired.withColumns({"n_chars": n, "head": F.left("text", n - F.floor(n / 2)), "tail": F.left("next_text", F.floor(n / 2))})
-    seam = cut.withColumn("seam", inner_hashes(F.concat(F.right("head", F.lit(K - 1)), F.left("tail", F.lit(K - 1)))))
+    seam = cut.withColumn("seam_chars", characters(F.concat(F.right("head", F.lit(K - 1)), F.left("tail", F.lit(K - 1)))))
+    seam = seam.withColumn("seam", inner_hashes(F.col("seam_chars")))
     seam = seam.withColumn("seam_places", anchor_places(F.col("seam")))
 
     def inside(hashes: str, places: str, part: str) -> Column:
