@@ -150,7 +150,8 @@ def identify(
 
     `train` has labelled rows; the sample per language is bounded by `docs`, `chars` and `total`. `und` with score 0 if a
     text is null or without letters, or if nothing could be learned. Score: the share of the winner if every 8 bits
-    fewer make a language twice as likely. Repeated rows are rows of their own, ties go to the first language by name.
+    fewer make a language twice as likely. Rows without an id are not learned
+    from. Repeated rows are rows of their own, ties go to the first language by name.
     """
     schema = StructType([StructField("doc_id", df.schema[id_col].dataType), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     parser = learn(train, text, id_col, lang, docs, chars, total)
