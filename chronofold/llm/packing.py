@@ -268,7 +268,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, branches: int = BRANCHES,
     at most `capacity` rows. Equal rows are pieces of their own. An empty table stays empty.
     """
     spark = pieces.sparkSession
-    hashed = pieces.withColumn("__hash", F.xxhash64("doc_id", "piece")).withColumn("__range", F.shiftright("__hash", 52))
+    hashed = pieces.withColumn("__hash", F.xxhash64("doc_id", "piece")).withColumn("__range", F.shiftright("__hash", 56))
     ranges = hashed.groupBy("length", "__range").agg(F.count("*").alias("__n"))
     found = ranges.groupBy("length").agg(F.sum("__n").alias("n")).limit(capacity + 1).collect()
     counts = np.zeros(capacity + 1, dtype=np.int64)
