@@ -11,6 +11,7 @@ from chronofold.llm.language import identify
 from chronofold.llm.mixing import mix_sources
 from chronofold.llm.packing import pack_documents
 from chronofold.llm.quality import score_quality
+from chronofold.llm.revisits import canonical_url, resolve_revisits
 from chronofold.llm.secrets import scan_secrets
 from chronofold.llm.simhash import near_duplicates
 from chronofold.llm.suffix import remove_repeats
@@ -41,6 +42,19 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.drop("key")
 
 
+def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures are the pages in order of page_id. A page without html, or with that of an earlier page of its URL, came back not modified."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    etag = F.sha2(F.coalesce("html", F.lit("")), 256)
+    captures = pages.select(F.col("page_id").alias("id"), "url", F.col("page_id").alias("time"), F.when(F.col("html") != "", etag).alias("etag"))
+    first = captures.groupBy(canonical_url(F.col("url")).alias("u"), F.col("etag").alias("e")).agg(F.min("id").alias("first_id"))
+    seen = captures.join(first, canonical_url(F.col("url")).eqNullSafe(F.col("u")) & F.col("etag").eqNullSafe(F.col("e")))
+    status = F.when(F.col("etag").isNull() | (F.col("id") > F.col("first_id")), 304).otherwise(200)
+    headers = F.create_map(F.lit("etag"), F.coalesce("etag", F.lit("")))
+    captures = seen.select("id", "url", "time", status.alias("status"), "etag", F.lit(None).cast("string").alias("last_modified"), headers.alias("headers"))
+    return resolve_revisits(captures).drop("headers")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
@@ -74,7 +88,7 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scan, op2_source_mix, op4_simhash, op5_exact_dedup, op6_repeats, op7_quality, op8_packing, op9_language, op10_syncmers)
+    for f in (op1_secret_scan, op2_source_mix, op3_revisits, op4_simhash, op5_exact_dedup, op6_repeats, op7_quality, op8_packing, op9_language, op10_syncmers)
 }
 
 ORACLE_SQL = {
