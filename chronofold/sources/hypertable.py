@@ -46,6 +46,10 @@ def with_chunk_columns(df: DataFrame, state: State) -> DataFrame:
     )
 
 
+# Types of columns that chunks can have minima and maxima of.
+SKIP_TYPES = ("byte", "short", "integer", "long", "date", "timestamp", "timestamp_ntz")
+
+
 def write_generation(
     table: Table,
     df: DataFrame,
@@ -60,6 +64,7 @@ def write_generation(
     into several tasks, so a chunk or hash bucket that holds most of the data is written in parallel.
     """
     parts = table.partition_columns(layout)
+    table.refuse_if_published()
     target = table.folder.url(table.generation(layout, table.next_version))
     out = df.hint("rebalance", *parts)
     if sort:
@@ -291,6 +296,8 @@ def chunk_filter(
             bucket = F.element_at("buckets", F.lit(name))
             wanted = wanted & (~F.col("layout").isin(layouts) | (bucket == hash_bucket(typed, size)))
     for name, (low, high) in (ranges or {}).items():
+        if state.schema[name].dataType.typeName() not in SKIP_TYPES:
+            continue  # no minima are kept for it; the row filter does the work
         kept = F.element_at("stats", F.lit(name))
         inside = F.lit(True)
         if low is not None:

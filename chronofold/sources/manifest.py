@@ -168,8 +168,15 @@ class Table:
             return self.spark.createDataFrame([], CHUNK_SCHEMA)
         return self.spark.read.schema(CHUNK_SCHEMA).parquet(self.folder.url(f"manifest/chunks-{version:08d}"))
 
+    def refuse_if_published(self) -> None:
+        """A writer whose version somebody else has published must not write over the winner's files."""
+        names = [n for n in self.folder.names("manifest") if n.startswith("state-") and n.endswith(".json")]
+        if any(n >= f"state-{self.next_version:08d}.json" for n in names):
+            raise TableError(f"version {self.next_version} of {self.folder.root} was published by another writer")
+
     def write_chunks(self, chunks: DataFrame) -> DataFrame:
         """Write the chunk rows of the next version; they go live with :meth:`publish`."""
+        self.refuse_if_published()
         rows = chunks.select(*CHUNK_SCHEMA.names)
         target = self.folder.url(f"manifest/chunks-{self.next_version:08d}")
         rows.write.mode("overwrite").parquet(target)

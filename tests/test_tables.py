@@ -95,6 +95,15 @@ def test_two_writers_do_not_both_publish(spark, table_path):
     cf.append(hours(spark, 3, 3), table_path)
     with pytest.raises(TableError, match="another writer"):
         table.publish()
+    with pytest.raises(TableError, match="another writer"):
+        table.write_chunks(table.chunks())
+    assert same_rows(cf.scan(spark, table_path), hours(spark, 6))
+
+
+def test_ranges_of_columns_without_minima_filter_rows(spark, table_path):
+    cf.create_hypertable(hours(spark, 6), table_path, TableSpec("time"))
+    found = cf.scan(spark, table_path, ranges={"device": ("a", "m"), "value": (1.5, 4.5)})
+    assert same_rows(found, hours(spark, 6).where("device >= 'a' AND device < 'm' AND value >= 1.5 AND value < 4.5"))
 
 
 def test_time_range_opens_only_its_chunks(spark, events, table_path):
