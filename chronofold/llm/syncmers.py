@@ -88,32 +88,35 @@ def fingerprint_documents(df: DataFrame, text: str = "text", id_col: str = "doc_
     if they are equal. A single row is its own successor. Other columns are not read.
     """
     dealt = with_next(df, text, id_col).repartition("range")
-    marked = dealt.withColumn("chars", characters(F.col("text"))).withColumn("inner", inner_hashes(F.col("chars"))).drop("chars")
+    # Lengths are columns below the window, so that no filter over anchors measures a text once for each of them.
+    marked = dealt.withColumn("n", F.length("text")).withColumn("chars", characters(F.col("text")))
+    marked = marked.withColumn("inner", inner_hashes(F.col("chars"))).drop("chars")
     marked = marked.withColumn("places", anchor_places(F.col("inner")))
     marked = marked.withColumn("hashes", anchor_hashes(F.col("inner"), F.col("places"))).drop("inner")
     marked = marked.withColumn("sketch", sketch(F.col("hashes"), F.col("text")))
     following = Window.partitionBy("range").orderBy("guard", F.col("id").asc_nulls_last(), "hash")
-    paired = marked.select("*", *(F.lead(c).over(following).alias(f"next_{c}") for c in ("text", "places", "hashes", "sketch"))).where("guard = 0")
-    n = F.length("text")
-    cut = paired.withColumns({"n_chars": n, "head": F.left("text", n - F.floor(n / 2)), "tail": F.left("next_text", F.floor(n / 2))})
+    paired = marked.select("*", *(F.lead(c).over(following).alias(f"next_{c}") for c in ("text", "n", "places", "hashes", "sketch"))).where("guard = 0")
+    half = F.floor(F.col("n") / 2)
+    cut = paired.withColumns({"head": F.left("text", F.col("n") - half), "tail": F.left("next_text", half)})
     seam = cut.withColumn("seam_chars", characters(F.concat(F.right("head", F.lit(K - 1)), F.left("tail", F.lit(K - 1)))))
     seam = seam.withColumn("seam", inner_hashes(F.col("seam_chars")))
     seam = seam.withColumn("seam_places", anchor_places(F.col("seam")))
 
-    def inside(hashes: str, places: str, part: str) -> Column:
-        """Anchors that end within the part of their text that was taken."""
-        return F.slice(hashes, F.lit(1), F.size(F.filter(places, lambda i: i <= F.length(part) - K)))
+    def inside(hashes: str, places: str, length: Column) -> Column:
+        """Anchors that end within the first `length` code points of their text."""
+        return F.slice(hashes, F.lit(1), F.size(F.filter(places, lambda i: i <= length - K)))
 
     edited = seam.select(
-        "id", "n_chars", "sketch", "next_sketch", "hashes",
+        "id", "n", "sketch", "next_sketch", "hashes",
         F.concat("head", "tail").alias("edited"),
         F.concat(
-            inside("hashes", "places", "head"), inside("next_hashes", "next_places", "tail"), anchor_hashes(F.col("seam"), F.col("seam_places"))
+            inside("hashes", "places", F.col("n") - half), inside("next_hashes", "next_places", F.least("next_n", half)),
+            anchor_hashes(F.col("seam"), F.col("seam_places")),
         ).alias("edited_hashes"),
     ).withColumn("edited_sketch", sketch(F.col("edited_hashes"), F.col("edited")))
     return edited.select(
         F.col("id").alias("doc_id"),
-        F.col("n_chars").cast("long").alias("n_chars"),
+        F.col("n").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         written(F.col("sketch")).alias("fingerprint"),
         written(F.col("edited_sketch")).alias("edited_fingerprint"),
