@@ -11,6 +11,8 @@ before, so a text is shuffled once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,19 +30,39 @@ def characters(text: Column) -> Column:
     return F.split(text, "")
 
 
-def inner_hashes(chars: Column) -> Column:
-    """The hashes of all runs of S code points, in order."""
-    starts = F.sequence(F.lit(0), F.size(chars) - S)
-    hashes = F.transform(starts, lambda i: F.xxhash64(*(F.get(chars, i + k) for k in range(S))))
-    return F.when(F.size(chars) >= S, hashes).otherwise(F.array().cast("array<bigint>"))
+def beside(array: Column, other: Column, by: int, join: Callable[..., Column]) -> Column:
+    """Each entry joined with that of the other array `by` places on, or with a null behind its end."""
+    later = F.slice(other, F.lit(by + 1), F.greatest(F.size(other) - by, F.lit(0)))
+    return F.zip_with(array, later, lambda a, b: join(a, b))
+
 
+def with_inner_hashes(df: DataFrame, text: str, name: str) -> DataFrame:
+    """`name`: the hashes of all runs of S = 5 code points, in order: of pairs, of pairs of pairs, then with the fifth.
+
+    Each step is a column of its own that the next one names more than once, so it is computed once a row.
+    """
+    steps = df.withColumn("__chars", characters(F.col(text)))
+    steps = steps.withColumn("__two", beside(F.col("__chars"), F.col("__chars"), 1, F.xxhash64))
+    steps = steps.withColumn("__four", beside(F.col("__two"), F.col("__two"), 2, F.xxhash64))
+    five = beside(F.col("__four"), F.col("__chars"), S - 1, F.xxhash64)
+    whole = F.slice(five, F.lit(1), F.greatest(F.size("__chars") - S + 1, F.lit(0)))
+    return steps.withColumn(name, whole).drop("__chars", "__two", "__four")
 
-def anchor_places(inner: Column) -> Column:
-    """0-based places of closed syncmers among inner hashes."""
-    edges = lambda i: F.least(F.get(inner, i), F.get(inner, i + SPAN - 1))
-    places = F.sequence(F.lit(0), F.size(inner) - SPAN)
-    chosen = F.filter(places, lambda i: F.array_min(F.slice(inner, i + 1, SPAN)) == edges(i))
-    return F.when(F.size(inner) >= SPAN, chosen).otherwise(F.array().cast("array<int>"))
+
+def with_anchor_places(df: DataFrame, inner: str, name: str) -> DataFrame:
+    """`name`: 0-based places of closed syncmers among inner hashes.
+
+    The smallest of SPAN entries in a row comes by doubling: of 2, 4, 8 and so on; SPAN is a power of two.
+    """
+    steps, minima, width = df, inner, 1
+    while width < SPAN:
+        steps = steps.withColumn(f"__least{2 * width}", beside(F.col(minima), F.col(minima), width, F.least))
+        minima, width = f"__least{2 * width}", 2 * width
+    edges = beside(F.col(inner), F.col(inner), SPAN - 1, F.least)
+    steps = steps.withColumn("__closed", F.zip_with(edges, F.col(minima), lambda e, m: e == m))
+    places = F.filter(F.sequence(F.lit(0), F.size("__closed") - SPAN), lambda i: F.get("__closed", i))
+    places = F.when(F.size("__closed") >= SPAN, places).otherwise(F.array().cast("array<int>"))
+    return steps.withColumn(name, places).select(*df.columns, name)
 
 
 def anchor_hashes(inner: Column, places: Column) -> Column:
@@ -89,18 +111,16 @@ def fingerprint_documents(df: DataFrame, text: str = "text", id_col: str = "doc_
     """
     dealt = with_next(df, text, id_col).repartition("range")
     # Lengths are columns below the window, so that no filter over anchors measures a text once for each of them.
-    marked = dealt.withColumn("n", F.length("text")).withColumn("chars", characters(F.col("text")))
-    marked = marked.withColumn("inner", inner_hashes(F.col("chars"))).drop("chars")
-    marked = marked.withColumn("places", anchor_places(F.col("inner")))
+    marked = with_inner_hashes(dealt.withColumn("n", F.length("text")), "text", "inner")
+    marked = with_anchor_places(marked, "inner", "places")
     marked = marked.withColumn("hashes", anchor_hashes(F.col("inner"), F.col("places"))).drop("inner")
     marked = marked.withColumn("sketch", sketch(F.col("hashes"), F.col("text")))
     following = Window.partitionBy("range").orderBy("guard", F.col("id").asc_nulls_last(), "hash")
-    paired = marked.select("*", *(F.lead(c).over(following).alias(f"next_{c}") for c in ("text", "n", "places", "hashes", "sketch"))).where("guard = 0")
+    followed = marked.select("*", *(F.lead(c).over(following).alias(f"next_{c}") for c in ("text", "n", "places", "hashes", "sketch"))).where("guard = 0")
     half = F.floor(F.col("n") / 2)
-    cut = paired.withColumns({"head": F.left("text", F.col("n") - half), "tail": F.left("next_text", half)})
-    seam = cut.withColumn("seam_chars", characters(F.concat(F.right("head", F.lit(K - 1)), F.left("tail", F.lit(K - 1)))))
-    seam = seam.withColumn("seam", inner_hashes(F.col("seam_chars")))
-    seam = seam.withColumn("seam_places", anchor_places(F.col("seam")))
+    cut = followed.withColumns({"head": F.left("text", F.col("n") - half), "tail": F.left("next_text", half)})
+    seam = cut.withColumn("seam_text", F.concat(F.right("head", F.lit(K - 1)), F.left("tail", F.lit(K - 1))))
+    seam = with_anchor_places(with_inner_hashes(seam, "seam_text", "seam"), "seam", "seam_places")
 
     def inside(hashes: str, places: str, length: Column) -> Column:
         """Anchors that end within the first `length` code points of their text."""
