@@ -72,7 +72,8 @@ def create_rollup(spark: SparkSession, path: str, spec: RollupSpec, with_data: b
 def refresh(spark: SparkSession, path: str, start: Any = None, end: Any = None, purge: bool = True) -> None:
     """Recompute the buckets that lie entirely in ``[start, end)``; an open side means everything there.
 
-    Stored buckets whose source rows were dropped by retention stay as they are.
+    Stored buckets whose source rows were dropped by retention stay as they are; so does a bucket that the retention limit
+    cuts, which leaves out rows that came later for its live part.
     """
     table, spec = _rollup_at(spark, path)
     width = parse_width(spec.width)
