@@ -32,7 +32,7 @@ from chronofold.llm.common import batches, bounded_batches, materialized, whole_
 LENGTH, K = 50, 20
 COMMON = 1 << 14
 BLOCK = 1 << 18  # windows of a long text that are looked at together
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 18  # an index that stays in a core's cache
 LAST_ID = (1 << 63) - 1  # a missing id comes after all others
 # Odd multipliers that mix 64 bits.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
@@ -114,23 +114,25 @@ class RunLengthIndex:
         for k in range(depth):
             key <<= 9
             key[: n - k] |= np.where(left[: n - k] >= k, symbols[k:], 0)
-        half, tie = None, np.where(left < depth, owner + 1, 0)
+        # Suffixes that end within `depth` are told apart by their segments, which a stable sort keeps in order.
+        order = np.argsort(key, kind="stable")
+        fresh = np.concatenate(([True], (key[order[1:]] != key[order[:-1]]) | (left[order[1:]] < depth)))
+        rank, rows = np.empty(n, np.int64), np.arange(n)
         while True:
-            if tie.any():  # suffixes that end here are told apart by their segments
-                order = np.lexsort((tie, key))
-                same = (key[order[1:]] == key[order[:-1]]) & (tie[order[1:]] == tie[order[:-1]])
-            else:
-                order = np.argsort(key)
-                same = key[order[1:]] == key[order[:-1]]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.concatenate(([0], np.cumsum(~same)))
+            # A group of equal beginnings is ranked by its first row; only groups of several suffixes are sorted further.
+            first = np.flatnonzero(fresh)
+            rank[order[rows]] = np.repeat(rows[first], np.diff(np.append(first, len(rows))))
             if depth <= length:
-                half = (depth, rank)
-            if not same.any():
+                half = (depth, rank.copy())
+            rows = rows[~(fresh & np.append(fresh[1:], True))]
+            if not len(rows):
                 return order, half
-            key = rank * (n + 1)
-            key[: n - depth] += np.where(left[: n - depth] >= depth, rank[depth:] + 1, 0)
-            tie, depth = np.zeros(1, np.int64), depth * 2
+            open_ = order[rows]
+            key = rank[open_] * n + rank[open_ + depth]
+            by_key = np.argsort(key)
+            order[rows], key = open_[by_key], key[by_key]
+            fresh = np.concatenate(([True], key[1:] != key[:-1]))
+            depth *= 2
 
     def step(self, rows: np.ndarray) -> np.ndarray:
         """From the rows of suffixes to those of the suffixes one byte longer."""
@@ -268,22 +270,34 @@ def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id", le
     mark_arrow = to_arrow_schema(mark_schema)
 
     def index(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def marked():
-            held: dict[tuple[int, bytes], list[int]] = {}
-            size, run = 0, None
+        def groups():
+            """(anchor, its distinct segments with their smallest and largest id)."""
+            run, group = None, {}
             for batch in stream:
                 for anchor, least, most, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if anchor != run:
-                        if size > INDEX_BYTES:
-                            yield from _marks(held, length)
-                            held, size = {}, 0
-                        run = anchor
-                    ids = held.get((anchor, part))
-                    if ids is None:
-                        held[anchor, part] = [least, most]
-                        size += len(part)
-                    else:
-                        ids[0], ids[1] = min(ids[0], least), max(ids[1], most)
+                        if group:
+                            yield run, group
+                        run, group = anchor, {}
+                    ids = group.setdefault(part, [least, most])
+                    ids[0], ids[1] = min(ids[0], least), max(ids[1], most)
+            if group:
+                yield run, group
+
+        def marked():
+            held: dict[tuple[int, bytes], list[int]] = {}
+            size = 0
+            for anchor, group in groups():
+                if len(group) == 1:  # all texts have the same segment, so there is none to match it with
+                    for part, ids in group.items():
+                        if ids[0] < ids[1]:
+                            yield anchor, _content_hash(part), ids[0], 0
+                    continue
+                held.update(((anchor, part), ids) for part, ids in group.items())
+                size += sum(map(len, group))
+                if size > INDEX_BYTES:
+                    yield from _marks(held, length)
+                    held, size = {}, 0
             yield from _marks(held, length)
 
         return batches(marked(), mark_arrow, 20_000)
