@@ -264,8 +264,9 @@ def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id", le
                 columns = (np.full(n, ident), np.full(n, unit), anchor, own, starts, counts)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=place_arrow)
 
+    # Every reader takes the same columns, so the texts are shuffled once.
     dealt = docs.repartition("id", "unit")
-    chosen = dealt.select("id", "unit", "text").join(lists, ["id", "unit"])
+    chosen = dealt.join(lists, ["id", "unit"])
     mark_schema = StructType([StructField(c, LongType()) for c in ("anchor", "content", "least_id", "bits")])
     mark_arrow = to_arrow_schema(mark_schema)
 
