@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
+from fractions import Fraction
 from typing import Any
 
 MICROS_PER_SECOND = 1_000_000
@@ -25,6 +26,24 @@ UNIT_MICROS = {
     "week": 7 * MICROS_PER_DAY,
 }
 UNIT_MONTHS = {"month": 1, "year": 12}
+# Other names of units, besides plurals.
+UNIT_NAMES = {
+    "us": "microsecond",
+    "usec": "microsecond",
+    "ms": "millisecond",
+    "msec": "millisecond",
+    "s": "second",
+    "sec": "second",
+    "m": "minute",
+    "min": "minute",
+    "h": "hour",
+    "hr": "hour",
+    "d": "day",
+    "w": "week",
+    "mon": "month",
+    "y": "year",
+    "yr": "year",
+}
 
 # Bucket origins. Fixed widths count from Monday 2000-01-03, calendar widths from 2000-01-01,
 # integer widths from zero.
@@ -36,7 +55,7 @@ DEFAULT_CHUNK = "7 days"
 
 _EPOCH = datetime(1970, 1, 1)
 _CLOCK = re.compile(r"(\d+):([0-5]?\d)(?::([0-5]?\d)(?:\.(\d{1,6}))?)?")
-_AMOUNT = re.compile(r"(\d+)\s*([a-z]+)")
+_AMOUNT = re.compile(r"(\d+(?:\.\d+)?|\.\d+)\s*([a-z]+)")
 
 
 @dataclass(frozen=True)
@@ -49,12 +68,21 @@ class Width:
 
 def _unit(name: str) -> str:
     name = name.strip().lower()
-    singular = name[:-1] if name.endswith("s") else name
+    singular = name[:-1] if name.endswith("s") and name not in UNIT_NAMES else name
+    singular = UNIT_NAMES.get(singular, singular)
     if singular not in UNIT_MICROS and singular not in UNIT_MONTHS:
         raise ValueError(f"unknown time unit: {name!r}")
     return singular
 
 
+def _whole(amount: str, size: int) -> int:
+    """``amount`` units of ``size``; a part of a microsecond or of a month is an error."""
+    count = Fraction(amount) * size
+    if count.denominator != 1:
+        raise ValueError(f"not a whole number of microseconds or months: {amount!r}")
+    return int(count)
+
+
 def _from_text(text: str) -> Width:
     rest = text.strip().lower()
     micros = months = 0
@@ -68,9 +96,9 @@ def _from_text(text: str) -> Width:
     for amount, name in _AMOUNT.findall(rest):
         unit = _unit(name)
         if unit in UNIT_MONTHS:
-            months += int(amount) * UNIT_MONTHS[unit]
+            months += _whole(amount, UNIT_MONTHS[unit])
         else:
-            micros += int(amount) * UNIT_MICROS[unit]
+            micros += _whole(amount, UNIT_MICROS[unit])
         found = True
     if not found or _AMOUNT.sub("", rest).strip():
         raise ValueError(f"not an interval: {text!r}")

@@ -44,6 +44,16 @@ def test_text(value, text):
         ("1 hour 30 minutes", Width("micros", 5_400_000_000)),
         ("2 weeks", Width("micros", 14 * DAY)),
         ("1 year", Width("months", 12)),
+        ("1.5 hours", Width("micros", 5_400_000_000)),
+        (".5 day", Width("micros", DAY // 2)),
+        ("0.5 years", Width("months", 6)),
+        ("15 min", Width("micros", 900_000_000)),
+        ("2 mins 30 secs", Width("micros", 150_000_000)),
+        ("1h", Width("micros", 3_600_000_000)),
+        ("1 hr", Width("micros", 3_600_000_000)),
+        ("250 ms", Width("micros", 250_000)),
+        ("1 mon", Width("months", 1)),
+        ("2 yrs", Width("months", 24)),
         ((3, "Month"), Width("months", 3)),
         ("00:00:00.000001", Width("micros", 1)),
         (5, Width("raw", 5)),
@@ -55,7 +65,7 @@ def test_parse(value, width):
 
 @pytest.mark.parametrize(
     "value",
-    ["1 month 2 days", "soon", "", "5 parsecs", "1 day and more", timedelta(0), timedelta(days=-1), -1, 0, (-1, "day"), "0 days"],
+    ["1 month 2 days", "soon", "", "5 parsecs", "0.5 months", "0.1 us", "1.2.3 days", "1 day and more", timedelta(0), timedelta(days=-1), -1, 0, (-1, "day"), "0 days"],
 )
 def test_refused(value):
     with pytest.raises(ValueError):
