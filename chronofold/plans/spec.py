@@ -14,7 +14,7 @@ from chronofold.operators.ordering import parse_order
 
 # Chunk skipping keeps exact smallest and largest values, so no floating point and no text.
 SKIP_TYPES = TIME_TYPES
-RESERVED = ("_chunk", "_until", "_gen", "_h_")
+RESERVED = ("_chunk", "_until", "_gen", "_run", "_h_")
 
 
 class SpecError(ValueError):

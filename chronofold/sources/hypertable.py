@@ -20,7 +20,7 @@ from chronofold.functions.widths import as_instant, parse_width
 from chronofold.plans.spec import TableSpec
 from chronofold.sources.manifest import State, Table, TableError, dim_column
 
-PARTITION_TYPES = {"_chunk": T.LongType(), "_until": T.LongType()}
+PARTITION_TYPES = {"_run": T.StringType(), "_chunk": T.LongType(), "_until": T.LongType()}
 
 
 def hash_bucket(value: Column, partitions: int) -> Column:
@@ -69,7 +69,7 @@ def write_generation(
     out = df.hint("rebalance", *parts)
     if sort:
         out = out.sortWithinPartitions(*parts, *sort)
-    writer = out.write.mode("overwrite").partitionBy(*parts)
+    writer = out.write.mode("errorifexists").partitionBy(*parts)
     if compressed:
         writer = writer.option("compression", "zstd")
     writer.parquet(target)
@@ -130,10 +130,15 @@ def chunk_rows(table: Table, layout: int, gen: int, compressed: bool, skip_colum
 def read_folders(table: Table, layout: int, gen: int | None, folders: Sequence[str]) -> DataFrame:
     """Stored rows of some folders of one layout, with their folder columns."""
     base = f"data/L{layout}" if gen is None else table.generation(layout, gen)
-    extra = [] if gen is not None else [T.StructField("_gen", T.IntegerType())]
-    schema = T.StructType([*table.state.schema.fields, *extra, *partition_schema(table.partition_columns(layout))])
-    reader = table.spark.read.schema(schema).option("basePath", table.folder.url(base))
-    return reader.parquet(*[table.folder.url(name) for name in folders])
+    found = []
+    for with_run in (True, False):  # old generations have no run, and one read takes folders of one depth
+        names = [name for name in folders if ("/_run=" in name) == with_run]
+        if names:
+            extra = [] if gen is not None else ["_gen", *["_run"] * with_run]
+            columns = partition_schema([*extra, *table.partition_columns(layout)])
+            reader = table.spark.read.schema(T.StructType([*table.state.schema.fields, *columns]))
+            found.append(reader.option("basePath", table.folder.url(base)).parquet(*map(table.folder.url, names)).drop("_run"))
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
 def commit(

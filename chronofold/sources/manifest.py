@@ -2,18 +2,19 @@
 
 A table folder holds data and manifests::
 
-    data/L<layout>/_gen=<n>/_chunk=<start>/_until=<end>/[_h_<column>=<bucket>/]part-*.parquet
-    manifest/chunks-<n>/*.parquet      one row per chunk folder
-    manifest/state-<n>.json            spec, schema, layouts; publishing this file is the commit
+    data/L<layout>/_gen=<n>/_run=<run>/_chunk=<start>/_until=<end>/[_h_<column>=<bucket>/]part-*.parquet
+    manifest/chunks-<n>-<run>/*.parquet      one row per chunk folder
+    manifest/state-<n>.json                  spec, schema, layouts; publishing this file is the commit
 
-A job writes a new generation, checks it, and publishes the next state. A job that dies before that leaves folders that
-no manifest names; the next job overwrites them. A table has one writer at a time: a second one that publishes the same
-number fails. The driver only ever sees manifest rows (one per chunk), never data rows.
+A job writes a new generation, checks it, and publishes the next state. Each writer has a run of its own in the names of
+its folders, so writers that overlap never touch each other's files; the one that publishes second fails. What a failed
+job leaves is named by no state, and :meth:`Table.purge` deletes it. The driver only ever sees manifest rows (one per chunk), never data rows.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
@@ -71,6 +72,8 @@ class State:
     folders: dict[str, tuple[int, int]] = field(default_factory=dict)
     # Version whose chunk rows were live before; readers that are under way may still use them.
     previous_chunks: int = 0
+    # "layout/generation" and "chunks/version" of what is live or was before -> run of its writer; folders of old tables have none.
+    runs: dict[str, str] = field(default_factory=dict)
 
     @property
     def time_type(self) -> T.DataType:
@@ -98,6 +101,7 @@ class State:
             "high_water": self.high_water,
             "folders": self.folders,
             "previous_chunks": self.previous_chunks,
+            "runs": self.runs,
         }
         return json.dumps(data, indent=1)
 
@@ -124,6 +128,8 @@ class Table:
     path: str
     folder: Folder = field(repr=False)
     state: State
+    # Names the folders that this writer makes.
+    run: str = field(default_factory=lambda: f"r{uuid.uuid4().hex}", repr=False, compare=False)
 
     @classmethod
     def at(cls, spark: SparkSession, path: str) -> Table:
@@ -150,8 +156,17 @@ class Table:
     def partition_columns(self, layout: int) -> list[str]:
         return ["_chunk", "_until", *[dim_column(name) for name in self.dims(layout)]]
 
+    def run_of(self, kind: int | str, version: int) -> str | None:
+        """The run that wrote a live generation of a layout, or live "chunks"; what comes next is this writer's own."""
+        return self.run if version == self.next_version else self.state.runs.get(f"{kind}/{version}")
+
     def generation(self, layout: int, gen: int) -> str:
-        return f"data/L{layout}/_gen={gen}"
+        run = self.run_of(layout, gen)
+        return f"data/L{layout}/_gen={gen}" + (f"/_run={run}" if run else "")
+
+    def chunks_folder(self, version: int) -> str:
+        run = self.run_of("chunks", version)
+        return f"manifest/chunks-{version:08d}" + (f"-{run}" if run else "")
 
     def folders_written(self, layout: int, gen: int) -> int:
         return self.state.folders[f"{layout}/{gen}"][0]
@@ -166,10 +181,10 @@ class Table:
         version = self.state.chunks if version is None else version
         if version == 0:
             return self.spark.createDataFrame([], CHUNK_SCHEMA)
-        return self.spark.read.schema(CHUNK_SCHEMA).parquet(self.folder.url(f"manifest/chunks-{version:08d}"))
+        return self.spark.read.schema(CHUNK_SCHEMA).parquet(self.folder.url(self.chunks_folder(version)))
 
     def refuse_if_published(self) -> None:
-        """A writer whose version somebody else has published must not write over the winner's files."""
+        """A writer whose version somebody else has published has lost, also when that state is deleted already."""
         names = [n for n in self.folder.names("manifest") if n.startswith("state-") and n.endswith(".json")]
         if any(n >= f"state-{self.next_version:08d}.json" for n in names):
             raise TableError(f"version {self.next_version} of {self.folder.root} was published by another writer")
@@ -178,23 +193,26 @@ class Table:
         """Write the chunk rows of the next version; they go live with :meth:`publish`."""
         self.refuse_if_published()
         rows = chunks.select(*CHUNK_SCHEMA.names)
-        target = self.folder.url(f"manifest/chunks-{self.next_version:08d}")
-        rows.write.mode("overwrite").parquet(target)
+        rows.write.mode("errorifexists").parquet(self.folder.url(self.chunks_folder(self.next_version)))
         return self.chunks(self.next_version)
 
     def publish(self, new_chunks: bool = False, **changes: Any) -> Table:
         """Make the next version live."""
+        self.refuse_if_published()
         version = self.next_version
         state = replace(self.state, version=version, **changes)
         if new_chunks:
             state = replace(state, chunks=version, previous_chunks=self.state.chunks)
+            named = {f"{kind}/{n}": self.run_of(kind, n) for kind, n in (key.split("/") for key in state.folders) for n in [int(n)]}
+            named |= {f"chunks/{n}": self.run_of("chunks", n) for n in (version, self.state.chunks)}
+            state = replace(state, runs={key: run for key, run in named.items() if run})
         if not self.folder.publish_text(f"manifest/state-{version:08d}.json", state.to_json()):
             raise TableError(f"another writer published version {version} of {self.path}")
         # The version before stays for readers that are under way.
         if version > 2:
             self.folder.delete(f"manifest/state-{version - 2:08d}.json")
         if new_chunks and self.state.previous_chunks:
-            self.folder.delete(f"manifest/chunks-{self.state.previous_chunks:08d}")
+            self.folder.delete(self.chunks_folder(self.state.previous_chunks))
         return replace(self, state=state)
 
     def discard(self, replaced: Sequence[Row]) -> None:
@@ -204,7 +222,7 @@ class Table:
             generations.setdefault((row["layout"], row["gen"]), []).append(row)
         for (layout, gen), rows in generations.items():
             if f"{layout}/{gen}" not in self.state.folders:
-                self.folder.delete(self.generation(layout, gen))
+                self.folder.delete(f"data/L{layout}/_gen={gen}")
             else:
                 for row in rows:
                     self.folder.delete(self.chunk_folder(layout, gen, row))
@@ -216,16 +234,22 @@ class Table:
             layout = int(layout_name[1:])
             for gen_name in self.folder.names(f"data/{layout_name}"):
                 gen = int(gen_name.split("=")[1])
-                if gen > self.state.version or live.get((layout, gen)):
+                if gen > self.state.version:
                     continue
                 if (layout, gen) not in live:
-                    self.folder.delete(self.generation(layout, gen))
-                else:
+                    self.folder.delete(f"data/{layout_name}/{gen_name}")
+                    continue
+                run = self.run_of(layout, gen)
+                for name in self.folder.names(f"data/{layout_name}/{gen_name}"):
+                    if name != f"_run={run}" and (run or name.startswith("_run=")):
+                        self.folder.delete(f"data/{layout_name}/{gen_name}/{name}")
+                if not live[layout, gen]:
                     self._purge_chunks(layout, gen)
+        live_chunks = self.chunks_folder(self.state.chunks).split("/")[1]
         for name in self.folder.names("manifest"):
             number = int(name.split(".")[0].split("-")[1])
             old_state = name.startswith("state-") and number < self.state.version
-            old_chunks = name.startswith("chunks-") and number < self.state.chunks
+            old_chunks = name.startswith("chunks-") and number <= self.state.version and name != live_chunks
             if old_state or old_chunks:
                 self.folder.delete(f"manifest/{name}")
 

@@ -1,5 +1,6 @@
 """Chunked tables: layout, pruning and every maintenance job, on whole driver tables and small hand-made ones."""
 
+import json
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 import chronofold as cf
 from chronofold import RebuildRefused, TableError, TableSpec
+from chronofold.sources.hypertable import with_chunk_columns, write_generation
 from chronofold.sources.manifest import Table
 
 NOW = datetime(2024, 1, 31)
@@ -100,6 +102,48 @@ def test_two_writers_do_not_both_publish(spark, table_path):
     assert same_rows(cf.scan(spark, table_path), hours(spark, 6))
 
 
+def test_overlapping_writers_do_not_touch_each_others_files(spark, table_path):
+    cf.create_hypertable(hours(spark, 3), table_path, TableSpec("time"))
+    first, second = Table.at(spark, table_path), Table.at(spark, table_path)
+    written = []
+    for table, rows in ((first, hours(spark, 3, 3)), (second, hours(spark, 5, 20))):
+        chunks = write_generation(table, with_chunk_columns(rows, table.state), table.state.layout)
+        written.append(table.write_chunks(table.chunks().unionByName(chunks)))
+    assert [rows.agg(F.sum("rows")).first()[0] for rows in written] == [6, 8]
+    keys = [f"0/{row['gen']}" for row in written[0].select("gen").distinct().collect()]
+    first.publish(new_chunks=True, folders={key: (1, 1) for key in keys})
+    with pytest.raises(TableError, match="another writer"):
+        second.publish(new_chunks=True)
+    assert same_rows(cf.scan(spark, table_path), hours(spark, 6))
+    cf.append(hours(spark, 1, 6), table_path)
+    cf.append(hours(spark, 1, 7), table_path)
+    with pytest.raises(TableError, match="another writer"):
+        second.publish(new_chunks=True)  # its version is deleted by now
+    cf.purge(spark, table_path)
+    assert same_rows(cf.scan(spark, table_path), hours(spark, 8))
+    assert spark.read.parquet(table_path + "/data/L0").count() == 8
+
+
+def test_folders_without_a_run_stay_readable(spark, table_path):
+    cf.create_hypertable(hours(spark, 30), table_path, TableSpec("time", chunk="1 day"))
+    table = Table.at(spark, table_path)
+    for name, plain in ((table.generation(0, 1), "data/L0/_gen=1"), (table.chunks_folder(1), "manifest/chunks-00000001")):
+        source = spark.read.parquet(f"{table_path}/{name}")
+        parts = [c for c in ("_chunk", "_until") if c in source.columns]
+        source.write.mode("append").partitionBy(*parts).parquet(f"{table_path}/{plain}")
+        table.folder.delete(name)
+    state = json.loads(table.folder.read_text("manifest/state-00000001.json"))
+    del state["runs"]
+    table.folder.delete("manifest/state-00000001.json")
+    table.folder.publish_text("manifest/state-00000001.json", json.dumps(state))
+    cf.append(hours(spark, 10, 30), table_path)
+    assert same_rows(cf.scan(spark, table_path), hours(spark, 40))
+    assert cf.scan(spark, table_path, end="2030-01-01").count() == 40
+    cf.purge(spark, table_path)
+    cf.reorder(spark, table_path, ["value"])
+    assert same_rows(cf.scan(spark, table_path), hours(spark, 40))
+
+
 def test_ranges_of_columns_without_minima_filter_rows(spark, table_path):
     cf.create_hypertable(hours(spark, 6), table_path, TableSpec("time"))
     found = cf.scan(spark, table_path, ranges={"device": ("a", "m"), "value": (1.5, 4.5)})
