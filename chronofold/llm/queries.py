@@ -43,16 +43,32 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captures are the pages in order of page_id. A page without html, or with that of an earlier page of its URL, came back not modified."""
+    """Captures are the pages in order of page_id. A page without html, or with that of an earlier page of its URL, came back not modified.
+
+    Its date is its id and its last modification the first id of its URL with that html; full responses also have a type and a
+    length, revisits a length of 0, which must not replace that of the response. Merged headers come as sorted lines of text.
+    """
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     etag = F.sha2(F.coalesce("html", F.lit("")), 256)
-    captures = pages.select(F.col("page_id").alias("id"), "url", F.col("page_id").alias("time"), F.when(F.col("html") != "", etag).alias("etag"))
+    captures = pages.select(
+        F.col("page_id").alias("id"), "url", F.col("page_id").alias("time"), F.when(F.col("html") != "", etag).alias("etag"), F.octet_length("html").alias("length")
+    )
     first = captures.groupBy(canonical_url(F.col("url")).alias("u"), F.col("etag").alias("e")).agg(F.min("id").alias("first_id"))
     seen = captures.join(first, canonical_url(F.col("url")).eqNullSafe(F.col("u")) & F.col("etag").eqNullSafe(F.col("e")))
-    status = F.when(F.col("etag").isNull() | (F.col("id") > F.col("first_id")), 304).otherwise(200)
-    headers = F.create_map(F.lit("etag"), F.coalesce("etag", F.lit("")))
-    captures = seen.select("id", "url", "time", status.alias("status"), "etag", F.lit(None).cast("string").alias("last_modified"), headers.alias("headers"))
-    return resolve_revisits(captures).drop("headers")
+    revisit = F.col("etag").isNull() | (F.col("id") > F.col("first_id"))
+    modified = F.when(F.col("etag").isNotNull(), F.col("first_id").cast("string"))
+    named = {
+        "content-length": F.when(revisit, F.lit("0")).otherwise(F.col("length").cast("string")),
+        "content-type": F.when(~revisit, F.lit("text/html")),
+        "date": F.col("id").cast("string"),
+        "etag": F.col("etag"),
+        "last-modified": modified,
+    }
+    headers = F.map_filter(F.create_map(*[c for name, value in named.items() for c in (F.lit(name), value)]), lambda _, v: v.isNotNull())
+    status = F.when(revisit, 304).otherwise(200)
+    found = resolve_revisits(seen.select("id", "url", "time", status.alias("status"), "etag", modified.alias("last_modified"), headers.alias("headers")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda entry: F.concat(entry["key"], F.lit(": "), entry["value"]))
+    return found.withColumn("headers", F.array_join(lines, "\n"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +140,39 @@ ORACLE_SQL = {
                 + greatest(0, least(size, want - 2 * source_size - start)))::BIGINT AS taken
         FROM placed
     """,
+    "op3_revisits": r"""
+        WITH plain AS (
+            SELECT page_id, html, regexp_replace(trim(url), '#.*$', '') AS p FROM pages
+        ), parts AS (
+            SELECT page_id, html, p, regexp_replace(p, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*', '') AS rest,
+                   regexp_replace(regexp_replace(lower(regexp_extract(p, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?]*)', 1)), '://[^@]*@', '://'),
+                                  '^(http://[^:]*):80$|^(https://[^:]*):443$', '\1\2') AS host
+            FROM plain
+        ), captures AS (
+            SELECT page_id, CASE WHEN host = '' THEN p WHEN starts_with(rest, '/') THEN host || rest ELSE host || '/' || rest END AS u,
+                   CASE WHEN html <> '' THEN sha256(html) END AS etag, strlen(html)::VARCHAR AS length
+            FROM parts
+        ), seen AS (
+            SELECT *, min(page_id) OVER (PARTITION BY u, etag) AS first_id FROM captures
+        ), judged AS (
+            SELECT *, etag IS NULL OR page_id > first_id AS revisit FROM seen
+        ), dated AS (
+            SELECT *, max(CASE WHEN NOT revisit THEN page_id END) OVER (PARTITION BY u ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+            FROM judged
+        ), joined AS (
+            SELECT d.*, r.etag AS full_etag, r.first_id AS full_first, r.length AS full_length,
+                   d.revisit AND d.u IS NOT NULL AND r.page_id IS NOT NULL AND coalesce(d.etag = r.etag, true)
+                   AND (d.etag IS NULL OR d.first_id = r.first_id) AS resolved
+            FROM dated d LEFT JOIN judged r ON r.page_id = d.before
+        )
+        SELECT page_id AS id, u AS canonical_url, revisit, CASE WHEN NOT revisit THEN page_id WHEN resolved THEN before END AS resolved_id,
+               NOT revisit OR resolved AS valid,
+               concat_ws(chr(10), 'content-length: ' || CASE WHEN resolved THEN full_length WHEN revisit THEN '0' ELSE length END,
+                         CASE WHEN resolved OR NOT revisit THEN 'content-type: text/html' END, 'date: ' || page_id,
+                         'etag: ' || CASE WHEN resolved THEN coalesce(etag, full_etag) ELSE etag END,
+                         'last-modified: ' || CASE WHEN resolved AND etag IS NULL THEN full_first WHEN etag IS NOT NULL THEN first_id END) AS headers
+        FROM joined
+    """,
     "op5_exact_dedup": r"""
         WITH normal AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents

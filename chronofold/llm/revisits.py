@@ -2,7 +2,7 @@
 
 An as-of join by canonical URL: each revisit takes the latest earlier full response of its URL. Captures of a URL are cut
 into stretches of time; inside one, a window carries the last full response forward, and a second window over one row per
-stretch carries it across, so a URL with a third of all captures is no single task. The body is joined by id only.
+stretch carries it across, so a URL with a third of all captures is no single task. Bodies are not read: whoever wants one joins it by resolved_id.
 """
 
 from __future__ import annotations
