@@ -6,6 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronofold.llm.bpe import decode_documents, encode_documents
+from chronofold.llm.centroids import cluster
+from chronofold.llm.conversations import damaged, repair, report
 from chronofold.llm.exact_dedup import duplicate_owners
 from chronofold.llm.language import identify
 from chronofold.llm.mixing import mix_sources
@@ -102,11 +105,76 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(documents(spark, sf_dir))
 
 
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, centroids = cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    components = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256")
+    per_cluster = centroids.select("cluster", "cluster_inertia", "inertia", components)
+    return placed.join(F.broadcast(per_cluster), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = decode_documents(encode_documents(documents(spark, sf_dir), TOKENIZER["tokenizer"]), TOKENIZER["tokenizer"])
+    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
+    return made.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, dropped = damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return report(repair(rows, absent=dropped)).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scan, op2_source_mix, op3_revisits, op4_simhash, op5_exact_dedup, op6_repeats, op7_quality, op8_packing, op9_language, op10_syncmers)
+    for f in (
+        op1_secret_scan,
+        op2_source_mix,
+        op3_revisits,
+        op4_simhash,
+        op5_exact_dedup,
+        op6_repeats,
+        op7_quality,
+        op8_packing,
+        op9_language,
+        op10_syncmers,
+        op11_clusters,
+        op12_bpe,
+        op13_conversations,
+    )
 }
 
+
+def _clusters_sql(rounds: int = 5) -> str:
+    """The rounds written out: centroids c0, assignment a1, centroids c1, and so on."""
+    far = "list_sum(list_transform(list_zip(k.v, c.v), z -> (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    parts = [
+        """kept AS (
+            SELECT vec_id, row_number() OVER () AS own, list_transform(embedding, x -> floor(256::DOUBLE * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = 64
+        ), c0 AS (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c, v FROM kept
+            ORDER BY sha256('2:' || vec_id), v LIMIT 40
+        )"""
+    ]
+    for n in range(rounds + 1):
+        parts.append(f"""a{n} AS MATERIALIZED (
+            SELECT own, any_value(vec_id) AS vec_id, any_value(v) AS v, min((far, c)).c AS c, min((far, c)).far AS far
+            FROM (SELECT k.*, c.c, {far} AS far FROM kept k, c{n} c) GROUP BY own
+        )""".replace("min((far, c))", "min({'far': far, 'c': c})"))
+        if n < rounds:
+            parts.append(f"""m{n} AS (
+                SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY d) AS v FROM (
+                    SELECT c, d, sum(x)::BIGINT AS s, count(*) AS n
+                    FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM a{n}) GROUP BY c, d)
+                GROUP BY c
+            ), c{n + 1} AS MATERIALIZED (SELECT c{n}.c, coalesce(m{n}.v, c{n}.v) AS v FROM c{n} LEFT JOIN m{n} USING (c))""")
+    return f"""
+        WITH {", ".join(parts)}
+        SELECT vec_id, a{rounds}.c::INTEGER AS cluster, far AS distance, sum(far) OVER (PARTITION BY a{rounds}.c)::BIGINT AS cluster_inertia,
+               sum(far) OVER ()::BIGINT AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} USING (c)
+    """
+
+
 ORACLE_SQL = {
     "op2_source_mix": r"""
         WITH sizes AS (
@@ -181,4 +249,5 @@ ORACLE_SQL = {
                doc_id = min(doc_id) OVER (PARTITION BY content) AS kept, sha256(content) AS text_sha256
         FROM normal
     """,
+    "op11_clusters": _clusters_sql(),
 }
