@@ -480,6 +480,119 @@ def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(cf.read_rollup(spark, path), "average")
 
 
+def rollup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the events, a rollup of them, then the other half, some of it late: only stale buckets are computed."""
+    events = _events(spark, sf_dir)
+    path = scratch_folder(spark, "chronofold") + "/hourly"
+    source = path.removesuffix("hourly") + "events"
+    early = (F.col("ts") < F.lit("2024-01-16")) & (F.col("event_id") % 7 != 3)
+    cf.create_hypertable(events.where(early), source, THREE_DAYS)
+    cf.create_rollup(spark, path, _hourly(source), with_data=True)
+    cf.append(events.where(~early), source)
+    cf.refresh(spark, path, incremental=True)
+    return _rounded(cf.read_rollup(spark, path), "average")
+
+
+def rollup_straddling_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Old chunks are dropped inside a bucket, then rows come for all times: nothing that was taken in is lost."""
+    events = _events(spark, sf_dir)
+    path = scratch_folder(spark, "chronofold") + "/wide"
+    source = path.removesuffix("wide") + "events"
+    cf.create_hypertable(events.where("event_id % 3 <> 0"), source, THREE_DAYS)
+    aggs = {
+        "average": "avg(value)",
+        "n": "count(*)",
+        "low": "min(value)",
+        "high": "max(value)",
+        "last_value": "max_by(value, ts)",
+        "first_value": "min_by(value, ts)",
+    }
+    cf.create_rollup(spark, path, _hourly(source, width="10 days", aggs=aggs, chunk="30 days"), with_data=True)
+    cf.drop_chunks(spark, source, older_than="7 days", now=NOW)
+    cf.append(events.where("event_id % 3 = 0"), source)
+    cf.refresh(spark, path, incremental=True)
+    cf.drop_chunks(spark, source, older_than="4 days", now=NOW)
+    cf.refresh(spark, path)
+    return _rounded(cf.read_rollup(spark, path), "average")
+
+
+def rollup_realtime_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two windows are materialized; what lies before, between and behind them is read from the source."""
+    path = _rollup(spark, sf_dir)
+    cf.refresh(spark, path, "2024-01-05", "2024-01-09T12:00:00")
+    cf.refresh(spark, path, "2024-01-20T06:00:00", "2024-01-23")
+    return _rounded(cf.read_rollup(spark, path, holes=True), "average")
+
+
+def rollup_redefined_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rollup gets another filter; the daily and the weekly rollup on top of it follow without being named."""
+    hourly = _rollup(spark, sf_dir, with_data=True)
+    folder = hourly.removesuffix("hourly")
+    aggs = {"n": "sum(n)", "high": "max(last_value)"}
+    cf.create_rollup(spark, folder + "daily", RollupSpec(hourly, "bucket", "1 day", aggs, bucket="day"), with_data=True)
+    weekly = RollupSpec(folder + "daily", "day", "7 days", {"n": "sum(n)", "high": "max(high)"}, bucket="week")
+    cf.create_rollup(spark, folder + "weekly", weekly, with_data=True)
+    cf.redefine(spark, hourly, _hourly(folder + "events", where="event_type <> 'error'"))
+    return cf.read_rollup(spark, folder + "weekly")
+
+
+def rollup_stream_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three files, the last one with rows for the days of the first: states are added, open buckets and late rows count."""
+    events = _events(spark, sf_dir)
+    folder = scratch_folder(spark, "chronofold")
+    late = F.col("event_id") % 5 == 2
+    first, second = F.col("ts") < F.lit("2024-01-11"), F.col("ts") < F.lit("2024-01-21")
+    for part in (first & ~late, ~first & second & ~late, ~second | late):
+        events.where(part).coalesce(1).write.mode("append").parquet(f"{folder}/incoming")
+    cf.create_hypertable(events.limit(0), f"{folder}/events", DAILY)
+    path = f"{folder}/hourly"
+    cf.create_rollup(spark, path, _hourly(f"{folder}/events", segment_by=["event_type"], compress_after="10 days"))
+    incoming = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/incoming")
+    cf.stream_rollup(incoming, path, f"{folder}/checkpoint", deltas=True).awaitTermination()
+    return _rounded(cf.read_rollup(spark, path), "average")
+
+
+# --- pruning by conditions, joins and statistics ----------------------------------------------------------------------
+
+
+def scan_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _stored(spark, sf_dir, DAILY_BY_USER)
+    condition = "ts BETWEEN '2024-01-04' AND '2024-01-06' AND user_id IN (7, 11, 23) OR ts >= '2024-01-28' AND value > 50"
+    return cf.scan(spark, path, where=condition)
+
+
+def scan_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the customers of one nation."""
+    customers = _table(spark, sf_dir, "customer").where("c_nationkey = 3 AND c_acctbal > 0")
+    customers = customers.select(F.col("c_custkey").alias("user_id"), "c_acctbal")
+    return cf.scan_joined(spark, _stored(spark, sf_dir, DAILY_BY_USER), customers, "user_id")
+
+
+def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one time are equally new, so only the times are compared."""
+    return cf.latest(spark, _stored(spark, sf_dir, DAILY), 500).select("ts")
+
+
+def count_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _stored(spark, sf_dir, THREE_DAYS)
+    return cf.count_in_range(spark, path, start="2024-01-04T07:30:00", end="2024-01-22T21:15:00")
+
+
+def skipping_enabled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skipping by a column that the table did not have it for, with the range of every chunk beside the rows it leaves."""
+    path = _stored(spark, sf_dir, TableSpec("ts", chunk="3 days", segment_by=["event_type"]))
+    cf.enable_chunk_skipping(spark, path, "event_id")
+    cf.compress_chunks(spark, path, now=NOW)
+    return cf.scan(spark, path, where="event_id >= 4000 AND event_id < 4700 OR event_id IN (1, 2, 3)")
+
+
+def uuid7_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = scratch_folder(spark, "chronofold")
+    cf.with_uuid7(_events(spark, sf_dir), "ts").write.parquet(stored)
+    found = spark.read.parquet(stored).where(cf.uuid7_between("id", "2024-01-05T06:00:00", "2024-01-09"))
+    return found.select("event_id", "ts")
+
+
 # --- contract -------------------------------------------------------------------------------------------------------
 
 
@@ -506,6 +619,7 @@ QUERIES = (
     histogram_by_hour,
     uuid7_roundtrip,
     uuid7_generated,
+    uuid7_range,
     gapfill_6h,
     gapfill_locf,
     gapfill_interpolate,
@@ -543,6 +657,16 @@ QUERIES = (
     rollup_after_source_retention,
     rollup_compressed,
     rollup_stream,
+    rollup_incremental,
+    rollup_straddling_retention,
+    rollup_realtime_holes,
+    rollup_redefined_tree,
+    rollup_stream_deltas,
+    scan_where,
+    scan_joined,
+    latest_rows,
+    count_in_range,
+    skipping_enabled_rows,
 )
 
 
@@ -785,6 +909,32 @@ def oracle_sql() -> dict[str, str]:
         "rollup_retention": _hourly_sql(_KEPT),
         "rollup_after_source_retention": _hourly_sql(),
         "rollup_compressed": _hourly_sql(),
+        "rollup_incremental": _hourly_sql(),
+        "rollup_straddling_retention": _hourly_sql(
+            width="10 days",
+            aggs="""round(avg(value) + 1.234e-9, 8) AS average, count(*) AS n, min(value) AS low, max(value) AS high,
+                    arg_max(value, ts) AS last_value, arg_min(value, ts) AS first_value""",
+        ),
+        "rollup_realtime_holes": _hourly_sql(),
+        "rollup_redefined_tree": """
+            SELECT time_bucket(INTERVAL '7 days', bucket) AS week, sum(n)::BIGINT AS n, max(last_value) AS high FROM (
+                SELECT time_bucket(INTERVAL '1 hour', ts) AS bucket, count(*) AS n, arg_max(value, ts) AS last_value
+                FROM events WHERE event_type <> 'error' GROUP BY time_bucket(INTERVAL '1 hour', ts), event_type)
+            GROUP BY 1
+        """,
+        "rollup_stream_deltas": _hourly_sql(),
+        "scan_where": f"""{_ALL_EVENTS} WHERE ts BETWEEN TIMESTAMP '2024-01-04' AND TIMESTAMP '2024-01-06' AND user_id IN (7, 11, 23)
+                          OR ts >= TIMESTAMP '2024-01-28' AND value > 50""",
+        "scan_joined": """
+            SELECT e.*, c.c_acctbal FROM events e JOIN customer c ON c.c_custkey = e.user_id WHERE c.c_nationkey = 3 AND c.c_acctbal > 0
+        """,
+        "latest_rows": "SELECT ts FROM events ORDER BY ts DESC LIMIT 500",
+        "count_in_range": """
+            SELECT count(*) AS rows, min(ts) AS first_time, max(ts) AS last_time FROM events
+            WHERE ts >= TIMESTAMP '2024-01-04 07:30:00' AND ts < TIMESTAMP '2024-01-22 21:15:00'
+        """,
+        "skipping_enabled_rows": f"{_ALL_EVENTS} WHERE event_id >= 4000 AND event_id < 4700 OR event_id IN (1, 2, 3)",
+        "uuid7_range": "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-09'",
         "rollup_stream": _hourly_sql(
             "time_bucket(INTERVAL '1 hour', ts) + INTERVAL '3 hours' <= (SELECT max(ts) FROM events)",
             aggs="round(avg(value) + 1.234e-9, 8) AS average, count(*) AS n",

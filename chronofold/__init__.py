@@ -11,6 +11,7 @@ from chronofold.functions import (
     time_bucket_int,
     to_uuid7,
     typed_bucket,
+    uuid7_between,
     uuid7_timestamp,
     with_uuid7,
 )
@@ -32,6 +33,7 @@ from chronofold.operators import bucket_by, gapfill, histogram_by, order_columns
 from chronofold.plans import RebuildRefused, RollupSpec, SpecError, TableSpec, plan_change
 from chronofold.rollups import (
     create_rollup,
+    dependents_of,
     drop_rollups,
     read_rollup,
     redefine,
@@ -39,7 +41,7 @@ from chronofold.rollups import (
     refresh_tree,
     run_refresh_policy,
 )
-from chronofold.sources import TableError, append, create_hypertable, describe, layout, scan
+from chronofold.sources import TableError, append, count_in_range, create_hypertable, describe, latest, layout, scan, scan_joined
 from chronofold.streaming import stream_rollup
 
 __all__ = [
@@ -54,9 +56,11 @@ __all__ = [
     "checksum",
     "compress_chunks",
     "convert",
+    "count_in_range",
     "create_hypertable",
     "create_rollup",
     "decompress",
+    "dependents_of",
     "describe",
     "disable_chunk_skipping",
     "drop_chunks",
@@ -68,6 +72,7 @@ __all__ = [
     "histogram",
     "histogram_by",
     "last_by",
+    "latest",
     "layout",
     "order_columns",
     "ordered",
@@ -82,6 +87,7 @@ __all__ = [
     "reorder",
     "run_refresh_policy",
     "scan",
+    "scan_joined",
     "stream_rollup",
     "time_bucket",
     "time_bucket_date",
@@ -89,6 +95,7 @@ __all__ = [
     "to_plain",
     "to_uuid7",
     "typed_bucket",
+    "uuid7_between",
     "uuid7_timestamp",
     "with_uuid7",
 ]

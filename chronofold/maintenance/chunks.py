@@ -77,17 +77,15 @@ def rewrite(
 
 
 def _with_ranges(table: Table, new: DataFrame, old: Sequence[Row]) -> DataFrame:
-    """The range a rewritten chunk stands for is the range of the chunks it was made from."""
-    ranges: dict[tuple[int, int], tuple[int, int]] = {}
+    """A rewritten chunk stands for the range of the chunks it was made from, and its rows changed when theirs last did."""
+    known: dict[tuple[int, int], tuple[int, int, int]] = {}
     for row in old:
-        label = row["to_chunk"], row["to_until"]
-        low, high = ranges.get(label, (row["lo"], row["hi"]))
-        ranges[label] = min(low, row["lo"]), max(high, row["hi"])
-    if all(label == span for label, span in ranges.items()):
-        return new
-    rows = [(*label, *span) for label, span in ranges.items()]
-    known = table.spark.createDataFrame(rows, "chunk bigint, until bigint, lo bigint, hi bigint")
-    return new.drop("lo", "hi").join(known, ["chunk", "until"])
+        label, since = (row["to_chunk"], row["to_until"]), row["gen"] if row["since"] is None else row["since"]
+        low, high, last = known.get(label, (row["lo"], row["hi"], since))
+        known[label] = min(low, row["lo"]), max(high, row["hi"]), max(last, since)
+    rows = [(*label, *found) for label, found in known.items()]
+    ranges = table.spark.createDataFrame(rows, "chunk bigint, until bigint, lo bigint, hi bigint, since bigint")
+    return new.drop("lo", "hi", "since").join(ranges, ["chunk", "until"])
 
 
 def _span_of(start: Column, span: Width) -> tuple[Column, Column]:
@@ -117,12 +115,18 @@ def compress_chunks(spark: SparkSession, path: str, older_than: Any = None, now:
 
     Rows are clustered by ``segment_by`` and sorted by ``order_by``, so that Parquet's own statistics can skip row
     groups, and the smallest and largest value of each skip column goes into the manifest. With ``merge_up_to`` the
-    chunks of one span become one chunk as soon as the whole span qualifies.
+    chunks of one span become one chunk as soon as the whole span qualifies. Rows that streamed batches left for the same
+    bucket of a rollup are put into one first.
     """
     table = Table.at(spark, path)
     spec = table.state.spec
     if not spec.columnstore:
         raise TableError(f"the columnstore of {path} is off")
+    if table.state.split:
+        from chronofold.rollups.rollup import fold
+
+        fold(spark, path, purge)
+        table = Table.at(spark, path)
     age = spec.compress_after if older_than is None else older_than
     limit = None if age is None else cutoff(table, age, now)
     chosen = ~F.col("compressed")
@@ -194,7 +198,8 @@ def drop_chunks(spark: SparkSession, path: str, older_than: Any = None, now: Any
     ends = [row["hi"] for row in picked]
     if table.state.dropped_until is not None:
         ends.append(table.state.dropped_until)
-    result = commit(table, [], table.chunks().where(~old), dropped_until=max(ends))
+    drops = (*(d for d in table.state.drops if d[1] > limit), (table.next_version, limit))
+    result = commit(table, [], table.chunks().where(~old), dropped_until=max(ends), drops=drops)
     if purge:
         result.discard(picked)
 

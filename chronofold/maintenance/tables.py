@@ -15,6 +15,7 @@ from chronofold.sources.hypertable import (
     create_filled,
     new_table,
     read_live,
+    visible,
     with_chunk_columns,
     write_generation,
 )
@@ -60,10 +61,11 @@ def rebuild(
     if state.rollup is not None:
         raise TableError("a rollup is rebuilt by redefine")
     spec = new_spec.resolved(state.schema)
-    dropped_until = state.dropped_until if spec.time == state.spec.time else None
+    same_time = spec.time == state.spec.time
+    dropped = {"dropped_until": state.dropped_until, "drops": state.drops} if same_time else {"dropped_until": None, "drops": ()}
     # The rebuilt table always gets a layout of its own, so no folder mixes two meanings of a partition column.
     layouts = (*state.layouts, tuple(spec.dims.items()))
-    fresh = replace(state, spec=spec, layouts=layouts, dropped_until=dropped_until)
+    fresh = replace(state, spec=spec, layouts=layouts, **dropped)
     target = replace(table, state=fresh)
     rows = with_chunk_columns(read_live(table), fresh)
     total = table.chunks().agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
@@ -84,10 +86,10 @@ def to_plain(
     table = Table.at(spark, path)
     if not (table.state.spec.rebuild_data if rebuild_data is None else rebuild_data):
         raise RebuildRefused("a rebuild copies every row, and rebuild_data is off")
-    rows = read_live(table)
+    rows = visible(read_live(table)) if table.state.rollup is not None else read_live(table)
     rows.write.mode("errorifexists").parquet(target)
     if verify:
-        _compare(rows, spark.read.schema(table.state.schema).parquet(target), target)
+        _compare(rows, spark.read.schema(rows.schema).parquet(target), target)
     if drop_source:
         table.folder.delete()
 

@@ -1,5 +1,6 @@
 from chronofold.rollups.rollup import (
     create_rollup,
+    dependents_of,
     drop_rollups,
     read_rollup,
     redefine,
@@ -10,6 +11,7 @@ from chronofold.rollups.rollup import (
 
 __all__ = [
     "create_rollup",
+    "dependents_of",
     "drop_rollups",
     "read_rollup",
     "redefine",

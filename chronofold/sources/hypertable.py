@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,10 +19,20 @@ from chronofold.functions.buckets import (
 from chronofold.functions.widths import as_instant, parse_width
 from chronofold.plans.spec import TableSpec
 from chronofold.sources.manifest import State, Table, TableError, dim_column
+from chronofold.sources.predicates import chunk_condition
 
 PARTITION_TYPES = {"_run": T.StringType(), "_chunk": T.LongType(), "_until": T.LongType()}
 
 
+# What rollups store besides their columns.
+HIDDEN = ("__parts",)
+
+
+def visible(rows: DataFrame) -> DataFrame:
+    """Rows without hidden columns."""
+    return rows.drop(*HIDDEN)
+
+
 def hash_bucket(value: Column, partitions: int) -> Column:
     return F.pmod(F.hash(value), F.lit(partitions))
 
@@ -123,6 +133,7 @@ def chunk_rows(table: Table, layout: int, gen: int, compressed: bool, skip_colum
         "files",
         "bytes",
         F.lit(compressed).alias("compressed"),
+        F.lit(gen).cast("bigint").alias("since"),
         as_map(stats, "map<string,struct<lo:bigint,hi:bigint>>").alias("stats"),
     )
 
@@ -320,12 +331,14 @@ def scan(
     end: Any = None,
     equals: Mapping[str, Any] | None = None,
     ranges: Mapping[str, tuple[Any, Any]] | None = None,
+    where: str | Column | None = None,
 ) -> DataFrame:
     """Rows of a chunked table with ``start <= time < end``, equal values and ``low <= column < high`` ranges.
 
     The filters first decide which chunks are opened: time by the chunk's range, equality on a hash dimension by its
     bucket, ranges on skip columns by the compressed chunk's smallest and largest value. They then apply to the rows
-    and reach the Parquet reader. Any other ``where`` can follow.
+    and reach the Parquet reader. So does ``where``, any condition: its comparisons of the time column, of hash dimensions and
+    of skip columns with constants, under ``AND``, ``OR``, ``IN`` and ``BETWEEN``, decide on chunks too.
     """
     table = Table.at(spark, path)
     state = table.state
@@ -333,9 +346,15 @@ def scan(
     for name in [*(equals or {}), *(ranges or {})]:
         if name not in known:
             raise TableError(f"column {name!r} is not in {path}")
-    if start is None and end is None and not equals and not ranges:
-        return read_live(table)
-    rows = read_picked(table, pick(table, chunk_filter(table, start, end, equals, ranges)))
+    shown = visible if state.rollup is not None else lambda rows: rows
+    if start is None and end is None and not equals and not ranges and where is None:
+        return shown(read_live(table))
+    wanted = chunk_filter(table, start, end, equals, ranges)
+    if where is not None:
+        wanted = wanted & chunk_condition(table, where, hash_bucket)
+    rows = read_picked(table, pick(table, wanted))
+    if where is not None:
+        rows = rows.where(where)
     time = F.col(state.spec.time)
     if start is not None:
         rows = rows.where(time >= time_literal(start, state.time_type))
@@ -349,7 +368,7 @@ def scan(
             rows = rows.where(F.col(name) >= _bound(low, dtype))
         if high is not None:
             rows = rows.where(F.col(name) < _bound(high, dtype))
-    return rows
+    return shown(rows)
 
 
 def _bound(value: Any, dtype: T.DataType) -> Column:
@@ -358,6 +377,97 @@ def _bound(value: Any, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
+def scan_joined(spark: SparkSession, path: str, other: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Rows of a chunked table joined with a few rows of another one, by equal columns that include hash dimensions.
+
+    The hash bucket is a further join key. It is a folder column, so when the other side is filtered and small enough to be
+    broadcast, Spark's dynamic partition pruning opens only the folders of the buckets it needs. ``how`` is inner or left_semi.
+    """
+    if how not in ("inner", "left_semi"):
+        raise TableError("only inner and left_semi joins can leave out chunks of the table")
+    table = Table.at(spark, path)
+    state = table.state
+    on = [on] if isinstance(on, str) else list(on)
+    for name in on:
+        if name not in state.schema.names:
+            raise TableError(f"column {name!r} is not in {path}")
+    found = []
+    for number in sorted({layout for layout, _, _ in table.generations()}):
+        dims = [(name, n) for name, n in state.layouts[number] if name in on]
+        rows = _live_of_layout(table, number)
+        buckets = {dim_column(name): hash_bucket(F.col(name).cast(state.schema[name].dataType), n) for name, n in dims}
+        joined = rows.join(other.withColumns(buckets) if buckets else other, [*on, *buckets], how)
+        found.append(visible(joined.drop(*[c for c in rows.columns if c not in state.schema.names])))
+    if not found:
+        return visible(spark.createDataFrame([], state.schema)).join(other, on, how)
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _live_of_layout(table: Table, number: int) -> DataFrame:
+    """The live rows of one layout, with their folder columns."""
+    names = []
+    for layout, gen, whole in table.generations():
+        if layout == number and whole:
+            names.append(table.generation(layout, gen))
+        elif layout == number:
+            rows = pick(table, (F.col("layout") == layout) & (F.col("gen") == gen))
+            names += [table.chunk_folder(layout, gen, row) for row in rows]
+    return read_folders(table, number, None, names)
+
+
+def latest(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The ``n`` rows with the highest times, newest first; of equal times any.
+
+    Running sums of row counts over the chunks, from the newest, tell the time behind which there are ``n`` rows; only
+    chunks that reach behind it are opened. The driver sees one number, and the rows of the manifest that are picked.
+    """
+    table = Table.at(spark, path)
+    time = table.state.spec.time
+    if n <= 0:
+        return scan(spark, path).limit(0)
+    order = (F.col("min_time").desc(), F.col("lo").desc(), F.col("gen").desc(), F.to_json("buckets"))
+    # Every chunk has a row at least, so no more than the n newest chunks count.
+    known = table.chunks().where(F.col("rows") > 0).orderBy(*order).limit(n)
+    known = known.withColumn("through", F.sum("rows").over(Window.orderBy(*order)))
+    edge = known.where(F.col("through") >= n).agg(F.max("min_time")).first()[0]
+    rows = read_live(table) if edge is None else read_picked(table, pick(table, F.col("max_time") >= edge))
+    if table.state.rollup is not None:
+        rows = visible(rows)
+    return rows.orderBy(F.col(time).desc()).limit(n)
+
+
+def count_in_range(spark: SparkSession, path: str, start: Any = None, end: Any = None) -> DataFrame:
+    """One row: rows, first_time and last_time of a table with ``start <= time < end``.
+
+    Chunks that lie inside the range as a whole are answered from the manifest; rows are read only from chunks at its edges.
+    """
+    table = Table.at(spark, path)
+    state = table.state
+    lo = None if start is None else as_instant(start)
+    hi = None if end is None else as_instant(end)
+    inside = F.lit(True)
+    if lo is not None:
+        inside = inside & (F.col("min_time") >= lo)
+    if hi is not None:
+        inside = inside & (F.col("max_time") < hi)
+    chunks = table.chunks().where(F.col("rows") > 0)
+    known = chunks.where(inside).agg(F.sum("rows").alias("rows"), F.min("min_time").alias("low"), F.max("max_time").alias("high"))
+    edges = read_picked(table, pick(table, overlapping(lo, hi, "min_time", "max_time") & ~inside & (F.col("rows") > 0)))
+    time = F.col(state.spec.time)
+    if lo is not None:
+        edges = edges.where(time >= time_literal(lo, state.time_type))
+    if hi is not None:
+        edges = edges.where(time < time_literal(hi, state.time_type))
+    at = position(state.spec.time, state.time_type)
+    read = edges.agg(F.count("*").alias("rows"), F.min(at).alias("low"), F.max(at).alias("high"))
+    both = known.unionByName(read).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"))
+    times = (from_position(F.col(c), state.time_type).alias(name) for c, name in (("low", "first_time"), ("high", "last_time")))
+    return both.select("rows", *times)
+
+
 def layout(spark: SparkSession, path: str) -> DataFrame:
     """One row per chunk: its range, hash buckets, rows, first and last time, files, bytes and whether it is compressed.
 

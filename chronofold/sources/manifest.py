@@ -43,6 +43,8 @@ CHUNK_SCHEMA = T.StructType(
         T.StructField("files", T.LongType()),
         T.StructField("bytes", T.LongType()),
         T.StructField("compressed", T.BooleanType()),
+        # Version whose job last changed the chunk's rows, which rewriting does not; null in old tables: that of `gen`.
+        T.StructField("since", T.LongType()),
         T.StructField(
             "stats",
             T.MapType(T.StringType(), T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())])),
@@ -74,6 +76,15 @@ class State:
     previous_chunks: int = 0
     # "layout/generation" and "chunks/version" of what is live or was before -> run of its writer; folders of old tables have none.
     runs: dict[str, str] = field(default_factory=dict)
+    # (version, limit): at that version all chunks that end by the limit were dropped. Only the last of each higher limit.
+    drops: tuple[tuple[int, int], ...] = ()
+    # (low, high, version of the source): stretches of time that a rollup has taken in.
+    covered: tuple[tuple[int, int, int], ...] = ()
+    # Folders of the rollups built on this table.
+    dependents: tuple[str, ...] = ()
+    # Stream -> number of its last batch, and whether a rollup may have several rows for a bucket because of them.
+    streams: dict[str, int] = field(default_factory=dict)
+    split: bool = False
 
     @property
     def time_type(self) -> T.DataType:
@@ -102,6 +113,11 @@ class State:
             "folders": self.folders,
             "previous_chunks": self.previous_chunks,
             "runs": self.runs,
+            "drops": self.drops,
+            "covered": self.covered,
+            "dependents": self.dependents,
+            "streams": self.streams,
+            "split": self.split,
         }
         return json.dumps(data, indent=1)
 
@@ -109,6 +125,8 @@ class State:
     def from_json(cls, text: str) -> State:
         data: dict[str, Any] = json.loads(text)
         rollup = data.pop("rollup")
+        data |= {name: tuple(map(tuple, data.get(name, ()))) for name in ("drops", "covered")}
+        data["dependents"] = tuple(data.get("dependents", ()))
         return cls(
             spec=TableSpec.from_dict(data.pop("spec")),
             schema=T.StructType.fromJson(data.pop("schema")),

@@ -12,7 +12,7 @@ from chronofold.functions.buckets import TIMESTAMP_TYPES
 from chronofold.functions.widths import FIXED_ORIGIN, parse_width
 from chronofold.operators.bucketing import named, time_type
 from chronofold.plans.spec import SpecError
-from chronofold.rollups.rollup import _rollup_at, upsert_buckets
+from chronofold.rollups.rollup import _rollup_at, add_batch, upsert_buckets
 
 
 def windowed(stream: DataFrame, spec: Any) -> DataFrame:
@@ -40,28 +40,41 @@ def windowed(stream: DataFrame, spec: Any) -> DataFrame:
     return closed.select(F.col("window.start").alias(spec.bucket), *spec.keys, *spec.aggs)
 
 
-def stream_rollup(stream: DataFrame, path: str, checkpoint: str, trigger: dict[str, Any] | None = None) -> StreamingQuery:
-    """Start a query that puts every closed bucket of a stream into an existing rollup.
+def stream_rollup(
+    stream: DataFrame, path: str, checkpoint: str, trigger: dict[str, Any] | None = None, deltas: bool = False
+) -> StreamingQuery:
+    """Start a query that keeps an existing rollup up to date from a stream of source rows.
 
-    The watermark is the spec's ``end_offset``. Rows that come later than that are left to the next windowed refresh.
-    A batch that is replayed after a failure replaces the buckets it wrote before. ``checkpoint`` must lie in storage
-    that all executors share. The default trigger processes what is there and stops.
+    By default every closed bucket is put into the rollup. The watermark is the spec's ``end_offset``; rows that come later
+    than that are left to the next windowed refresh. A batch that is replayed after a failure replaces the buckets it wrote.
+
+    With ``deltas`` the states of every batch are added as small files of their own, which reading merges and
+    ``compress_chunks`` folds in. There is no watermark and no state: open buckets are there at once, late rows are counted,
+    and no file of the rollup is written again unless a batch is replayed, which replaces its own part. It takes
+    aggregates whose states merge (sum, count, min, max, avg, min_by, max_by), over any width.
+
+    Either way a refresh computes buckets from the source table, so the rows of the stream have to go there too.
+    ``checkpoint`` must lie in storage that all executors share; it also names the stream. The default trigger processes
+    what is there and stops.
     """
     spark = stream.sparkSession
     _, spec = _rollup_at(spark, path)
 
-    def write(batch: DataFrame, _: int) -> None:
+    def put(batch: DataFrame, _: int) -> None:
         batch.persist()
         try:
             upsert_buckets(batch.sparkSession, path, batch)
         finally:
             batch.unpersist()
 
+    def add(batch: DataFrame, number: int) -> None:
+        add_batch(batch.sparkSession, path, batch, checkpoint.rstrip("/"), number)
+
     return (
-        windowed(stream, spec)
+        (stream if deltas else windowed(stream, spec))
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(write)
+        .foreachBatch(add if deltas else put)
         .start()
     )
