@@ -7,10 +7,10 @@ from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.sources.files import scratch_folder
+from chronofold.sources.files import Folder, scratch_folder
 
 # The white space of every contract here, as regular expressions.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -29,6 +29,24 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables of one run of an operator, in one shared folder that goes when its result is written elsewhere."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.folder, self.count = spark, scratch_folder(spark, name), 0
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """As `materialized`, until `delete`."""
+        self.count += 1
+        path = f"{self.folder}/{self.count:04d}-{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def delete(self) -> None:
+        """Nothing that is still to be computed may read these tables."""
+        Folder(self.spark, self.folder).delete()
+
+
 def bounded_batches(df: DataFrame) -> DataFrame:
     """`df`, about to go to Python workers: batches of bounded size, so that memory doesn't depend on how long texts are.
 

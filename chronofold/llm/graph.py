@@ -5,29 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import materialized
+from chronofold.llm.common import Scratch, materialized
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, label (the smallest node of its component) for every node of `links` (a, b: longs).
 
-    Each round hooks every node to its smallest neighbour and replaces links by links between the nodes hooked to, until
-    none is left: a number of rounds in the logarithm of the nodes. A hub is a key of joins, whose other side has
-    one row, and of minima, which are taken before the shuffle.
+    A link with a null end is no link; links of a node with itself, repeated links and both directions of one are the same
+    as without them; other columns are not read; without links there are no nodes.
+
+    Each round hooks every node to the one that a random order, drawn anew for the round, puts first among it and its
+    neighbours, and replaces links by links between the nodes hooked to, until none is left. What no node hooks to is gone,
+    on a path as in a star, so the expected number of rounds is logarithmic in the nodes whatever their ids. A hub is a
+    key of joins, whose other side has one row, and of minima, which are taken before the shuffle. The written tables of
+    the rounds are deleted at the end.
     """
-    left = materialized(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    labels = None
+    labels, _ = components_and_rounds(links)
+    return labels
+
+
+def components_and_rounds(links: DataFrame) -> tuple[DataFrame, int]:
+    """`components`, and how many rounds they took."""
+    scratch = Scratch(links.sparkSession, "components")
+    apart = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    left = scratch.table(apart.distinct(), "links")
+    hooks: list[DataFrame] = []
     while not left.isEmpty():
+        order = F.struct(F.xxhash64("other", F.lit(len(hooks))), "other")
         both = left.select(F.col("a").alias("node"), F.col("b").alias("other")).union(left.select("b", "a"))
-        hooks = both.groupBy("node").agg(F.min("other").alias("low"))
-        hooks = materialized(hooks.select("node", F.least("node", "low").alias("hook")), "hooks")
-        to_a = hooks.select(F.col("node").alias("a"), F.col("hook").alias("x"))
-        to_b = hooks.select(F.col("node").alias("b"), F.col("hook").alias("y"))
+        both = both.select("node", order.alias("other"))
+        own = F.struct(F.xxhash64("node", F.lit(len(hooks))), F.col("node").alias("other"))
+        first = both.groupBy("node").agg(F.min("other").alias("low")).select("node", F.least(own, "low")["other"].alias("hook"))
+        hooks.append(scratch.table(first, "hooks"))
+        to_a = hooks[-1].select(F.col("node").alias("a"), F.col("hook").alias("x"))
+        to_b = hooks[-1].select(F.col("node").alias("b"), F.col("hook").alias("y"))
         moved = left.join(to_a, "a").join(to_b, "b").where("x <> y")
-        left = materialized(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
-        if labels is None:
-            labels = hooks.withColumnRenamed("hook", "label")
-        else:
-            steps = hooks.select(F.col("node").alias("label"), "hook")
-            labels = labels.join(steps, "label", "left").select("node", F.coalesce("hook", "label").alias("label"))
-    return left.select(F.col("a").alias("node"), F.col("b").alias("label")) if labels is None else labels
+        left = scratch.table(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+    if not hooks:
+        roots = left.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    else:
+        # From the last round, which has the fewest nodes, to the first.
+        roots = hooks[-1].withColumnRenamed("hook", "root")
+        for earlier in reversed(hooks[:-1]):
+            later = roots.select(F.col("node").alias("hook"), "root")
+            roots = scratch.table(earlier.join(later, "hook", "left").select("node", F.coalesce("root", "hook").alias("root")), "roots")
+    least = roots.groupBy("root").agg(F.min("node").alias("label"))
+    labels = materialized(roots.join(least, "root").select("node", "label"), "labels")
+    scratch.delete()
+    return labels, len(hooks)

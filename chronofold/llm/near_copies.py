@@ -1,27 +1,32 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-`BANDS` hashes of `ROWS` minima of a set each bring candidates together; a pair of similarity 0.8 shares one with a
-probability of 1 - 3e-6. In each bucket all are compared with three of them, by all their shingles, so a bucket of n gives
-at most 3n pairs. Buckets of up to three members lose no pair; members of larger ones may only be linked by way of others.
+Sets get a SimHash fingerprint and `BANDS` hashes of `ROWS` minima each; a pair of similarity 0.8 shares one of these with a
+probability of 1 - 3e-6, and its fingerprints differ in 10 bits on average, in more than `RADIUS` for one pair in 500. Sets
+that share a hash are a bucket. Buckets are first compared with a few of their own members, then searched by the Gray-order
+index of `simhash` for pairs within the radius that are not connected yet; every pair found is compared by all its shingles
+before it counts. A round takes the `NEAREST` pairs of each text, the next one four times as many, until no untried pair
+of unconnected texts is left. So no text has a limit on its partners, and in a group of copies few pairs are ever made. A
+bucket of more than `BUCKET` sets is dealt out again by its further hashes; a pair of similarity 0.8 shares two of them with
+a probability of 0.99995, three with 0.9995.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from chronofold.llm.common import bounded_batches, materialized, row_key, rows_of_keys, whole_text
+from chronofold.llm.common import Scratch, bounded_batches, materialized, row_key, rows_of_keys, whole_text
 from chronofold.llm.graph import components
-from chronofold.llm.simhash import LOWER, SEED
+from chronofold.llm.simhash import BUCKET, LOWER, SEED, GrayIndex
 
-WORDS, BANDS, ROWS = 5, 24, 4
+WORDS, BANDS, ROWS, RADIUS, HUBS, NEAREST = 5, 24, 4, 18, 3, 4
 _DRAWN = np.random.default_rng(SEED)
 FACTORS = _DRAWN.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _DRAWN.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -49,56 +54,205 @@ def band_hashes(found: np.ndarray) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)), np.uint64, BANDS)
 
 
+def set_fingerprint(found: np.ndarray) -> int:
+    """The bits that are set in over half the hashes of a set."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(found), 1 << 14):
+        bits = np.unpackbits(found[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.int32)
+    return sum(1 << int(b) for b in np.flatnonzero(counts * 2 > len(found)))
+
+
+def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
+    values = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64))).cast(kind)
+
+
+def node_of(found: np.ndarray) -> int:
+    """The name of a set: equal sets are one node."""
+    return xxhash.xxh64_intdigest(found.tobytes(), SEED)
+
+
+LONGS = ArrayType(LongType(), False)
+
+
 def sketches(df: DataFrame, text: str, id_col: str) -> DataFrame:
-    """doc_id, key, node (a hash of the set), shingles and bands for every row."""
-    longs = ArrayType(LongType(), False)
-    schema = StructType(
-        [StructField("doc_id", df.schema[id_col].dataType), StructField("key", StringType()), StructField("node", LongType()), StructField("shingles", longs), StructField("bands", longs)]
-    )
+    """doc_id, key, node, n (shingles), fp (the fingerprint) and bands for every row: some 300 bytes, however long the text."""
+    longs = [StructField(n, LongType()) for n in ("node", "n", "fp")]
+    schema = StructType([StructField("doc_id", df.schema[id_col].dataType), StructField("key", StringType()), *longs, StructField("bands", LONGS)])
     arrow = to_arrow_schema(schema)
 
-    def arrays(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-        offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
-        values = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64))).cast(kind)
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            nodes, sizes, fps, bands = [], [], [], []
+            for text in batch.column(2):
+                found = shingles(text.as_py())
+                nodes.append(node_of(found))
+                sizes.append(len(found))
+                fps.append(set_fingerprint(found))
+                bands.append(band_hashes(found))
+            columns = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (nodes, sizes, fps)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, lists(bands, arrow.field(5).type)], schema=arrow)
+
+    whole = whole_text(text)
+    return bounded_batches(df.select(F.col(id_col), row_key(id_col, whole), whole.cast("binary"))).mapInArrow(run, schema)
+
+
+def sets_of(df: DataFrame, text: str, id_col: str, keys: DataFrame) -> DataFrame:
+    """node and shingles of the rows whose key is among `keys.key`: their texts are read again."""
+    schema = StructType([StructField("node", LongType()), StructField("shingles", LONGS)])
+    arrow = to_arrow_schema(schema)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                sets = [shingles(t.as_py()) for t in part.column(2)]
-                nodes = np.fromiter((xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets), np.uint64, len(sets))
-                columns = [pa.array(nodes.view(np.int64)), arrays(sets, arrow.field(3).type), arrays(list(map(band_hashes, sets)), arrow.field(4).type)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], schema=arrow)
+                sets = [shingles(t.as_py()) for t in batch.column(0).slice(at, 200)]
+                nodes = np.fromiter(map(node_of, sets), np.uint64, len(sets))
+                yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), lists(sets, arrow.field(1).type)], schema=arrow)
 
     whole = whole_text(text)
-    return bounded_batches(df.select(F.col(id_col), row_key(id_col, whole), whole.cast("binary"))).mapInArrow(run, schema)
+    chosen = df.select(row_key(id_col, whole).alias("key"), whole.cast("binary").alias("content")).join(keys, "key", "left_semi")
+    return bounded_batches(chosen.select("content")).mapInArrow(run, schema).dropDuplicates(["node"])
+
+
+def alike(n: str, m: str, fp: str, gp: str):
+    """Whether sizes and fingerprints leave room for a similarity of 0.8."""
+    close = F.bit_count(F.col(fp).bitwiseXOR(F.col(gp))) <= RADIUS
+    return (F.least(n, m) * 5 >= F.greatest(n, m) * 4) & close
+
+
+def buckets_of(nodes: DataFrame, scratch: Scratch, bucket: int) -> DataFrame:
+    """bucket, node, n, fp: nodes by shared hashes, large buckets dealt out again; no bucket has a single node."""
+
+    def several(dealt: DataFrame) -> DataFrame:
+        size = F.count("*").over(Window.partitionBy("bucket"))
+        return scratch.table(dealt.withColumn("size", size).where("size > 1"), "buckets")
+
+    # `last` is the number of the last band that a bucket stands for; dealing goes on with those behind it.
+    exploded = nodes.select("node", "n", "fp", F.posexplode("bands").alias("last", "band"))
+    dealt = several(exploded.select(F.xxhash64("last", "band").alias("bucket"), "node", "n", "fp", "last"))
+    settled = dealt.where(F.col("size") <= bucket)
+    for _ in range(2):
+        large = dealt.where(F.col("size") > bucket)
+        if large.isEmpty():
+            return settled
+        bands = large.select("bucket", "last", "node", "n", "fp").join(nodes.select("node", "bands"), "node")
+        finer = bands.select("bucket", "last", "node", "n", "fp", F.posexplode("bands").alias("next", "band")).where("next > last")
+        dealt = several(finer.select(F.xxhash64("bucket", "next", "band").alias("bucket"), "node", "n", "fp", F.col("next").alias("last")))
+        settled = settled.unionByName(dealt.where(F.col("size") <= bucket))
+    return settled.unionByName(dealt.where(F.col("size") > bucket))
+
+
+def nearest_pairs(members: DataFrame, nearest: int) -> DataFrame:
+    """Pairs a, b of unconnected nodes of a bucket within the radius, the `nearest` ones of each node; a row of nulls where a
+    node has more. `members`: bucket, node, n, fp, component."""
+    schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
+    arrow = to_arrow_schema(schema)
+
+    def search(node: np.ndarray, n: np.ndarray, fp: np.ndarray, component: np.ndarray) -> Iterator[pa.RecordBatch]:
+        names, counts = np.unique(component, return_counts=True)
+        if len(names) < 2:
+            return
+        index = GrayIndex(fp.view(np.uint64))
+        node, n, component = node[index.order], n[index.order], component[index.order]
+        truncated = False
+        # The largest component is found, it doesn't search.
+        for low, high in index.links(RADIUS, searching=component != names[counts.argmax()]):
+            room = np.minimum(n[low], n[high]) * 5 >= np.maximum(n[low], n[high]) * 4
+            open_ = room & (component[low] != component[high])
+            low, high = low[open_], high[open_]
+            if not len(low):
+                continue
+            order = np.lexsort((node[high], np.bitwise_count(index.values[low] ^ index.values[high]), low))
+            low, high = low[order], high[order]
+            begins = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+            rank = np.arange(len(low)) - np.repeat(begins, np.diff(np.append(begins, len(low))))
+            truncated |= bool((rank >= nearest).any())
+            pair = np.stack((node[low], node[high]))[:, rank < nearest]
+            yield pa.RecordBatch.from_arrays([pa.array(pair.min(axis=0)), pa.array(pair.max(axis=0))], schema=arrow)
+        if truncated:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], schema=arrow)
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        run_of = None
+        for batch in stream:
+            bucket, *columns = (c.to_numpy() for c in batch.columns)
+            edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+            for start, end in zip(edges, [*edges[1:], len(bucket)]):
+                if bucket[start] != run_of:
+                    if held:
+                        yield from search(*map(np.concatenate, zip(*held)))
+                    held, run_of = [], bucket[start]
+                held.append(tuple(c[start:end] for c in columns))
+        if held:
+            yield from search(*map(np.concatenate, zip(*held)))
+
+    rows = members.select("bucket", "node", "n", "fp", "component")
+    return bounded_batches(rows.repartition("bucket").sortWithinPartitions("bucket")).mapInArrow(run, schema).distinct()
+
+
+def near_copy_links(made: DataFrame, read_sets: Callable[[DataFrame], DataFrame], scratch: Scratch, bucket: int = BUCKET, nearest: int = NEAREST) -> DataFrame:
+    """node, label for every node of `made` (sketches) that is linked to another: connected components of similarity 0.8.
+
+    `read_sets` gives node and shingles for a table of keys. It is asked for each node once, in the round that first compares it.
+    """
+    nodes = made.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min("key").alias("key"))
+    nodes = scratch.table(nodes, "nodes")
+    members = scratch.table(buckets_of(nodes, scratch, bucket).select("bucket", "node", "n", "fp"), "members")
+
+    member = F.struct("node", "n", "fp").alias("hub")
+    drawn = [F.min_by(member, F.xxhash64("node", "bucket", F.lit(k))) for k in range(HUBS)]
+    hubs = members.groupBy("bucket").agg(F.array_distinct(F.array(*drawn)).alias("hubs")).select("bucket", F.explode("hubs").alias("hub"))
+    with_hubs = members.join(hubs, "bucket").where(F.col("node") != F.col("hub.node"))
+    close = with_hubs.withColumns({"m": F.col("hub.n"), "gp": F.col("hub.fp")}).where(alike("n", "m", "fp", "gp"))
+    pairs = close.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+
+    sets = links = tried = labels = None
+    while True:
+        pairs = scratch.table(pairs, "pairs")
+        more, pairs = not pairs.where("a IS NULL").isEmpty(), pairs.where("a IS NOT NULL")
+        if tried is not None:
+            pairs = scratch.table(pairs.join(tried, ["a", "b"], "left_anti"), "untried")
+        found = labels is None or not pairs.isEmpty()
+        if found:
+            met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+            missing = met if sets is None else met.join(sets, "node", "left_anti")
+            asked = scratch.table(nodes.join(missing, "node", "left_semi").select("key"), "asked")
+            if sets is None or not asked.isEmpty():
+                new = scratch.table(read_sets(asked), "sets")
+                sets = new if sets is None else sets.union(new)
+            of_a, of_b = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in "ab")
+            both = F.size(F.array_intersect("of_a", "of_b"))
+            judged = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", (both * 9 >= (F.size("of_a") + F.size("of_b")) * 4).alias("near"))
+            judged = scratch.table(judged, "judged")
+            tried = judged.select("a", "b") if tried is None else tried.union(judged.select("a", "b"))
+            near = judged.where("near").select("a", "b")
+            links = near if links is None else links.union(near)
+            labels = scratch.table(components(links), "labels")
+        elif not more:
+            return labels
+        # Buckets whose nodes are all connected are done.
+        known = members.join(labels, "node", "left").select("bucket", "node", "n", "fp", F.coalesce("label", "node").alias("component"))
+        spread = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        pairs = nearest_pairs(known.join(spread, "bucket", "left_semi"), nearest)
+        nearest *= 4
+
 
+def drop_near_copies(df: DataFrame, text: str = "text", id_col: str = "doc_id", bucket: int = BUCKET, nearest: int = NEAREST) -> DataFrame:
+    """The rows of `df` with the smallest id among those that links reach (a null id last), one of each, with all columns.
 
-def near_copy_links(made: DataFrame) -> DataFrame:
-    """Links a, b between the nodes of `sketches` whose sets have a Jaccard similarity of 0.8 or more."""
-    member = F.struct("node", F.size("shingles").alias("n")).alias("member")
-    dealt = materialized(made.select(member, F.explode("bands").alias("band")).distinct(), "near-bands")
-    first, last = F.min("member"), F.max("member")
-    drawn = F.min_by("member", F.xxhash64("member.node", "band"))
-    hubs = dealt.groupBy("band").agg(F.count("*").alias("members"), F.array(first, last, drawn).alias("hubs")).where("members > 1")
-    pairs = dealt.join(hubs.select("band", F.explode(F.array_distinct("hubs")).alias("hub")), "band")
-    alike = (F.least("member.n", "hub.n") * 5 >= F.greatest("member.n", "hub.n") * 4) & (F.col("member.node") != F.col("hub.node"))
-    pairs = pairs.where(alike).select(F.least("member.node", "hub.node").alias("a"), F.greatest("member.node", "hub.node").alias("b"))
-    pairs = materialized(pairs.distinct(), "near-pairs")
-    met = pairs.select("a").union(pairs.select("b")).distinct()
-    sets = made.join(met.withColumnRenamed("a", "node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    sets = materialized(sets, "near-sets")
-    of_a, of_b = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in "ab")
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    return pairs.join(of_a, "a").join(of_b, "b").where(both * 9 >= (F.size("of_a") + F.size("of_b")) * 4).select("a", "b")
-
-
-def drop_near_copies(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of `df` with the smallest id among those that links reach (a null id last), one of each, with all columns."""
-    made = materialized(sketches(df, text, id_col), "near-sketches")
-    labels = components(near_copy_links(made)).withColumnRenamed("node", "of")
+    A null text is empty. Texts without words are copies of each other and of no other text; texts of fewer than five words
+    have one shingle, the whole sequence, so they are copies when their words are equal. Of rows that repeat id and text one
+    stays. Extra columns are carried along under any name that does not begin with two underscores. An empty table stays empty.
+    """
+    scratch = Scratch(df.sparkSession, "near")
+    made = scratch.table(sketches(df, text, id_col), "sketches")
+    labels = near_copy_links(made, lambda keys: sets_of(df, text, id_col, keys), scratch, bucket, nearest).withColumnRenamed("node", "of")
     known = made.select("doc_id", "key", "node").join(labels, F.col("node") == F.col("of"), "left")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     kept = known.groupBy(F.coalesce("label", "node").alias("component")).agg(F.min_by("key", order).alias("key"))
-    return rows_of_keys(df, row_key(id_col, whole_text(text)), kept.select("key"))
+    kept = materialized(kept.select("key"), "near-kept")
+    scratch.delete()
+    return rows_of_keys(df, row_key(id_col, whole_text(text)), kept)

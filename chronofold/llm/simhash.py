@@ -83,7 +83,8 @@ class GrayIndex:
         rank = values.copy()
         for shift in (1, 2, 4, 8, 16, 32):
             rank ^= rank >> np.uint64(shift)
-        self.values = values[np.argsort(rank)]
+        self.order = np.argsort(rank)  # the places of the values as they came
+        self.values = values[self.order]
         self.levels: list[tuple[np.ndarray, np.ndarray, int]] = []  # pattern, own bits, leaves below; the leaves last
         some = every = self.values
         shared = [(self.values, np.full(len(values), ALL, np.uint64), 1)]
@@ -97,14 +98,22 @@ class GrayIndex:
             self.levels.append((pattern, mask & ~np.asarray(inherited, np.uint64), leaves))
             above = mask
 
-    def links(self, radius: int, block: int = 128) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of places (low, high) of fingerprints within `radius`, for one block of searches after the other."""
-        for at in range(0, len(self.values), block):
-            query = np.arange(at, min(at + block, len(self.values)))
+    def links(self, radius: int, block: int = 128, searching: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of places (low, high) of fingerprints within `radius`, for one block of searches after the other.
+
+        With `searching` (a flag for each place) only those search, for all others: pairs (search, found), in both directions.
+        """
+        searches = np.arange(len(self.values)) if searching is None else np.flatnonzero(searching)
+        for at in range(0, len(searches), block):
+            query = searches[at : at + block]
             node, off = np.zeros(len(query), np.int64), np.zeros(len(query), np.uint8)
             for depth, (pattern, own, leaves) in enumerate(self.levels):
                 off = off + np.bitwise_count((self.values[query] ^ pattern[node]) & own[node])
-                alive = (off <= radius) & ((node + 1) * leaves - 1 > query)  # of each pair, the lower place searches
+                alive = off <= radius
+                if searching is None:
+                    alive &= (node + 1) * leaves - 1 > query  # of each pair, the lower place searches
+                elif leaves == 1:
+                    alive &= node != query
                 query, node, off = query[alive], node[alive], off[alive]
                 if depth + 1 < len(self.levels):
                     query, off = np.repeat(query, FAN), np.repeat(off, FAN)

@@ -5,6 +5,7 @@ import re
 
 import corpus_pipeline
 from chronofold.llm import near_copies
+from chronofold.llm.common import Scratch
 from tests.llm.conftest import EDGE
 
 
@@ -43,36 +44,77 @@ def test_near_stage_equals_brute_force_jaccard(spark, sf_dir, docs, texts):
     assert got == smallest(texts, pairs)
 
 
-def test_recall_by_similarity(spark, sf_dir):
-    """Families of edited copies: every pair at 0.8 and above ends in one component, texts below 0.8 stay apart."""
-    rng = random.Random(7)
+def families(sizes, seed, longest=400, edits=40):
+    """Texts of edited copies of a base, the base among them; and one family of each size."""
+    rng = random.Random(seed)
     texts = {}
-    for family in range(120):
-        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(60, 400))]
-        for _ in range(4):
+    for size in sizes:
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(60, longest))]
+        for k in range(size):
             copy = list(base)
-            for _ in range(rng.randint(0, max(1, len(base) // 40))):
+            for _ in range(rng.randint(0, max(1, len(base) // edits)) if k else 0):
                 copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
             texts[len(texts)] = " ".join(copy)
-    pairs = similar(texts)
-    made = near_copies.sketches(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "text", "doc_id").cache()
-    node = {r["doc_id"]: r["node"] for r in made.select("doc_id", "node").collect()}
-    top = {n: n for n in node.values()}
+    return texts
 
-    def root(x):
-        while top[x] != x:
-            x = top[x]
-        return x
 
-    true = {frozenset((node[a], node[b])) for a, b in pairs}
-    for a, b in near_copies.near_copy_links(made).collect():
-        assert frozenset((a, b)) in true
-        top[root(a)] = root(b)
+def linked(spark, texts, **options):
+    """{doc_id: name of its component}, by the links alone."""
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    scratch = Scratch(spark, "test-near")
+    made = scratch.table(near_copies.sketches(df, "text", "doc_id"), "sketches")
+    found = near_copies.near_copy_links(made, lambda keys: near_copies.sets_of(df, "text", "doc_id", keys), scratch, **options)
+    label = {r["node"]: r["label"] for r in found.collect()}
+    return {r["doc_id"]: label.get(r["node"], r["node"]) for r in made.select("doc_id", "node").collect()}
+
+
+def assert_components(texts, component, pairs):
+    """Every pair of every band of similarity is linked, and components are those of brute force."""
     for low, high in ((0.8, 0.85), (0.85, 0.9), (0.9, 0.95), (0.95, 1.01)):
         some = [p for p, j in pairs.items() if low <= j < high]
-        found = sum(root(node[a]) == root(node[b]) for a, b in some)
+        found = sum(component[a] == component[b] for a, b in some)
         print(f"{low}: {found} of {len(some)} pairs linked")
-        assert len(some) > 20 and found == len(some)
+        assert found == len(some)
+    assert len(set(component.values())) == len(smallest(texts, pairs))
+
+
+def test_recall_by_similarity(spark):
+    texts = families([4] * 120, 7)
+    assert_components(texts, linked(spark, texts), similar(texts))
+
+
+def test_recall_in_large_groups(spark):
+    """Groups of 60 and 200, in which most copies are similar enough to the base alone."""
+    texts = families([60, 60, 200], 11, 300, 50)
+    rng = random.Random(12)
+    for family in range(2):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        for k in range(150):
+            copy = list(base)
+            for at in rng.sample(range(300), 5 if k else 0):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            texts[len(texts)] = " ".join(copy)
+    pairs = similar(texts)
+    assert_components(texts, linked(spark, texts), pairs)
+
+
+def test_texts_of_a_bucket_that_stay_apart(spark):
+    """Copies of a base that is missing: similar to each other by about 0.7, so all have to be compared, none is linked."""
+    rng = random.Random(13)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    texts = {}
+    for k in range(60):
+        copy = list(base)
+        for at in rng.sample(range(300), 6):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        texts[k] = " ".join(copy)
+    pairs = similar(texts)
+    assert_components(texts, linked(spark, texts, nearest=2), pairs)
+
+
+def test_large_buckets_are_dealt_out_again(spark):
+    texts = families([4] * 30 + [80, 80], 17, 200)
+    assert_components(texts, linked(spark, texts, bucket=20), similar(texts))
 
 
 def test_near_stage_edge_cases(edge, empty):
