@@ -22,6 +22,7 @@ CAP = 3  # a source is taken at most so many times over
 BLOCK = 64  # words in a slot
 RANGE_BITS = 12  # slots are ranked in ranges of 4096
 CHUNK = 1 << 16  # points of a source that one row unfolds into
+TASK = 1 << 20  # slots that one task unfolds
 
 
 def before(*order: str | Column, by: tuple = ()) -> Window:
@@ -56,16 +57,24 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFra
     )
 
 
-def slots(targets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """slot, src, rank: who takes which place of the mix. One row per slot."""
+def points_of(targets: DataFrame, block: int) -> DataFrame:
+    """src, bits, point: the points that sources own, unfolded in tasks of about `TASK`."""
+    words = targets.agg(F.sum("want")).first()[0] or 0
+    partitions = max(targets.sparkSession.sparkContext.defaultParallelism, -(-words // (block * TASK)))
     first = F.coalesce(F.sum("n").over(before("src")), F.lit(0))
     owed = targets.select("src", F.ceil(F.col("want") / block).cast("long").alias("n"))
     owed = owed.withColumn("first", first).withColumn("bits", F.ceil(F.log2(F.greatest(F.sum("n").over(Window.partitionBy()), F.lit(2)))))
     chunks = owed.where("n > 0").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / CHUNK))))
     last = F.least(F.col("n"), (F.col("chunk") + 1) * CHUNK) - 1
-    points = chunks.repartition("src", "chunk").select(
+    # A number of partitions of its own: by their bytes, these few rows would all be put together before they unfold.
+    return chunks.repartition(partitions, "src", "chunk").select(
         "src", "bits", F.explode(F.sequence(F.col("first") + F.col("chunk") * CHUNK, F.col("first") + last)).alias("point")
     )
+
+
+def slots(targets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """slot, src, rank: who takes which place of the mix. One row per slot."""
+    points = points_of(targets, block)
     mirrored = F.conv(F.reverse(F.lpad(F.bin("point"), F.col("bits").cast("int"), "0")), 2, 10).cast("long")
     placed = points.select("src", mirrored.alias("slot")).withColumn("range", F.shiftright("slot", RANGE_BITS))
     ranges = placed.groupBy("src", "range").agg(F.count("*").alias("n"))
@@ -85,6 +94,7 @@ def mix_sources(
     weights=WEIGHTS,
     cap: int = CAP,
     block: int = BLOCK,
+    key: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(plan, totals) of the mix of all rows of `df`.
 
@@ -93,10 +103,11 @@ def mix_sources(
 
     A null text has no words and is never taken; a null source is a source, the last. Repeated rows are documents of their
     own. Ids may be null or repeated: they only order the documents. An empty table, or one without words, has an empty
-    plan. Columns besides the three named are not read. The order of documents is that of the md5 of their ids, so reruns agree.
+    plan. Columns besides the three named are not read, but for what `key` reads: the name of a row in totals, by default
+    made of id and text. The order of documents is that of the md5 of their ids, so reruns agree.
     """
     words = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    key = row_key(id_col, whole_text(text))
+    key = row_key(id_col, whole_text(text)) if key is None else key
     sizes = df.select(F.col(id_col).alias("id"), F.col(source).alias("source"), words.alias("size"), key.alias("key"))
     sizes = materialized(sizes, "mix-sizes")
     targets = materialized(source_targets(sizes, weights, cap).coalesce(1), "mix-targets")
@@ -141,10 +152,16 @@ def mixed_documents(df: DataFrame, text: str = "text", id_col: str = "doc_id", s
     """The rows of `df`, each as often as the mix takes it: all columns of `df`, whole documents.
 
     The mix takes the documents of a source in turn, so all but the last one it comes to are taken a whole number of times;
-    that one is rounded. A document without words has no part in the weights and stays as it is.
+    that one is rounded. A document without words, or with a null text, has no part in the weights and stays as it is. A
+    null source is a source. Rows are told apart by all their columns, so rows with one id and text but different sources
+    stay what they are; rows that are equal in every column come as often as all of them together. An empty table stays empty.
     """
-    _, totals = mix_sources(df, text, id_col, source, **options)
+    # The length of each value stands before it, so that no two rows give one text; null has none.
+    values = [F.col(c) if df.schema[c].dataType.typeName() == "string" else F.to_json(F.struct(c)) for c in df.columns]
+    parts = [F.coalesce(F.concat(F.octet_length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values]
+    key = F.sha2(F.concat(*parts), 256)
+    _, totals = mix_sources(df, text, id_col, source, key=key, **options)
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5)).otherwise(1).cast("int")
     counts = totals.groupBy(F.col("key").alias("__key")).agg(F.sum(times).cast("int").alias("__times")).where("__times > 0")
-    rows = df.withColumn("__key", row_key(id_col, whole_text(text))).join(counts, "__key").dropDuplicates(["__key"])
+    rows = df.withColumn("__key", key).join(counts, "__key").dropDuplicates(["__key"])
     return rows.withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*df.columns)

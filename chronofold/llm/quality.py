@@ -175,8 +175,13 @@ def score_quality(
     `train` has the texts that may be learned from, `labels` their ids and labels; at most `rows` of them are used. A null text
     is empty and has a score as well. Without labels every score is 0.5. Repeated rows are rows of their own.
     """
-    kept = df.select(F.col(id_col).alias("doc_id")) if keep is None else df.select(*keep)
     network = learn(train, labels, text, id_col, label, rows, steps)
+    return scored(df, network, text, id_col, threshold, keep, names)
+
+
+def scored(df: DataFrame, network: ByteNetwork | None, text: str, id_col: str, threshold: float, keep: list[str] | None, names: tuple[str, str]) -> DataFrame:
+    """`score_quality` by a network."""
+    kept = df.select(F.col(id_col).alias("doc_id")) if keep is None else df.select(*keep)
     if network is None:
         return kept.withColumns({names[0]: F.lit(0.5), names[1]: F.lit(int(threshold <= 0.5))})
     shared = df.sparkSession.sparkContext.broadcast(network.p)
@@ -199,8 +204,23 @@ def score_quality(
     return bounded_batches(df.select(content, *chosen)).mapInArrow(run, schema)
 
 
-def drop_poor(df: DataFrame, train: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of `df` that reach the threshold, with all their columns. Without labels nothing is known and all stay."""
+def drop_poor(
+    df: DataFrame,
+    train: DataFrame,
+    labels: DataFrame,
+    text: str = "text",
+    id_col: str = "doc_id",
+    label: str = "quality",
+    threshold: float = THRESHOLD,
+    rows: int = SAMPLE_ROWS,
+    steps: int = STEPS,
+) -> DataFrame:
+    """The rows of `df` that reach the threshold, with all their columns. Without labels nothing is known and all stay.
+
+    Null and empty texts are scored like others; repeated rows are rows of their own; an empty table stays empty.
+    """
+    network = learn(train, labels, text, id_col, label, rows, steps)
+    if network is None:
+        return df
     names = ("__score", "__predicted")
-    scored = score_quality(df, train, labels, keep=df.columns, names=names, **options)
-    return scored.where((F.col(names[1]) == 1) | (F.col(names[0]) == 0.5)).select(*df.columns)
+    return scored(df, network, text, id_col, threshold, df.columns, names).where(F.col(names[1]) == 1).select(*df.columns)

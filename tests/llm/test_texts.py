@@ -15,6 +15,7 @@ import corpus_pipeline
 from chronofold.llm import language, mixing, packing, quality, secrets, syncmers
 from chronofold.llm.queries import TOKENIZER, fold
 from tests.llm.conftest import EDGE, rows
+from tests.llm.test_near_copies import similar, smallest
 from tests.oracle import connect, differences
 
 # --- secrets --------------------------------------------------------------------------------------------------------
@@ -330,10 +331,8 @@ def test_pipeline_stages(spark, sf_dir, docs):
                 seen[content] = min(r["doc_id"], seen.get(content, r["doc_id"]))
             assert sorted(r["doc_id"] for r in kept) == sorted(seen.values())
         elif name == "near":
-            from tests.llm.test_copies import brute_components, brute_fingerprint
-
-            found = brute_components([(r["doc_id"], brute_fingerprint(r["text"])) for r in before.values()])
-            assert sorted(r["doc_id"] for r in kept) == sorted({c for *_, c in found})
+            known = {i: r["text"] for i, r in before.items()}
+            assert sorted(r["doc_id"] for r in kept) == smallest(known, similar(known))
         else:
             totals = mixing.mix_sources(now)[1].collect()
             expected = [r["doc_id"] for r in totals for _ in range(int(r["taken"] / r["size"] + 0.5) if r["size"] else 1)]
@@ -343,6 +342,34 @@ def test_pipeline_stages(spark, sf_dir, docs):
     assert packed.where("piece = 0").count() == now.count()
 
 
+def test_pipeline_stages_on_edge_and_empty_tables(spark, sf_dir, edge, empty):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf_dir).count() == 0, name
+        found = stage(spark, edge, sf_dir)
+        if name == "pack":
+            assert found.where("piece = 0").count() == len(EDGE)
+        else:
+            assert found.columns == edge.columns and 0 <= found.count() <= 3 * len(EDGE), name
+            assert {tuple(r) for r in found.collect()} <= set(EDGE), name
+
+
+def test_rows_of_one_id_and_text_keep_their_sources(spark):
+    rows_ = [(1, "a b c", "s1"), (1, "a b c", "s2"), (2, "d e", "s1"), (2, "d e", "s1"), (3, None, None), (4, "", "s1")]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, source string")
+    got = [tuple(r) for r in mixing.mixed_documents(df).collect()]
+    assert {r for r in got if r[0] == 1} == {(1, "a b c", "s1"), (1, "a b c", "s2")}
+    assert set(got) <= set(rows_) and got.count((2, "d e", "s1")) >= 2 and (3, None, None) in got and (4, "", "s1") in got
+
+
+def test_slots_unfold_in_many_tasks(spark):
+    sizes = spark.createDataFrame([("a", 40_000_000), ("b", 30_000_000)], "source string, size long")
+    made = mixing.slots(mixing.source_targets(sizes))
+    ids = made.groupBy("slot").count().where("count > 1")
+    assert ids.isEmpty()
+    points = mixing.points_of(mixing.source_targets(sizes), mixing.BLOCK)
+    assert points.select(F.spark_partition_id()).distinct().count() > 3
+
+
 def test_fold_is_of_the_id_as_text(spark):
     got = spark.range(50).select("id", fold("id", 4, 2).alias("in")).collect()
     assert all(r["in"] == (zlib.crc32(str(r["id"]).encode()) % 4 == 2) for r in got)
