@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from chronofold.llm.common import batches, bounded_batches, materialized, whole_text
 
@@ -164,22 +164,23 @@ def smaller_owners(parts: list[bytes], owners: np.ndarray, length: int = LENGTH)
     return marks
 
 
-def cut_out(text: bytes, marks: list[dict] | None, length: int) -> tuple[int, int, str]:
-    """Bytes removed, spans and the SHA-256 of the rest. A mark has start, windows and bits (-1: all of them)."""
+def cut_out(text: bytes, starts: np.ndarray, windows: np.ndarray, bits: np.ndarray, length: int) -> tuple[int, int, str]:
+    """Bytes removed, spans and the SHA-256 of the rest. A mark is a start, windows and bits (-1: all of them)."""
+    if not len(starts):
+        return 0, 0, hashlib.sha256(text).hexdigest()
     begun = np.zeros(len(text) + 1, np.int32)
-    for mark in marks or ():
-        start, windows, bits = mark["start"], mark["windows"], mark["bits"]
-        if bits == -1:
-            begun[start] += 1
-            begun[min(start + windows + length - 1, len(text))] -= 1
-        else:
-            firsts = [start + p for p in range(windows) if bits >> p & 1]
-            for first in firsts:
-                begun[first] += 1
-                begun[first + length] -= 1
+    whole = bits == -1
+    np.add.at(begun, starts[whole], 1)
+    np.add.at(begun, np.minimum(starts[whole] + windows[whole] + length - 1, len(text)), -1)
+    starts, windows, bits = starts[~whole], windows[~whole], bits[~whole]
+    if len(starts):
+        places = np.arange(int(windows.max()))
+        firsts = (starts[:, None] + places)[(bits[:, None] >> places & 1 == 1) & (places < windows[:, None])]
+        np.add.at(begun, firsts, 1)
+        np.add.at(begun, firsts + length, -1)
     gone = np.cumsum(begun[:-1]) > 0
     spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
-    rest = np.frombuffer(text, np.uint8)[~gone].tobytes() if marks else text
+    rest = np.frombuffer(text, np.uint8)[~gone].tobytes()
     return int(gone.sum()), spans, hashlib.sha256(rest).hexdigest()
 
 
@@ -199,23 +200,31 @@ def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id", le
     copies = light.join(owners.drop("unit"), "sha").where("id > own_id").select("id", "unit").distinct()
 
     # 1. Anchors that more than one text has, as a list for each text.
-    anchor_schema = StructType([StructField("unit", LongType()), StructField("anchor", LongType())])
+    # Texts of a batch that share one are one row: even an anchor of most texts is a row per batch when it is counted.
+    anchor_schema = StructType([StructField("anchor", LongType()), StructField("unit", LongType()), StructField("others", ArrayType(LongType(), False))])
     anchor_arrow = to_arrow_schema(anchor_schema)
 
     def anchors(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in stream:
+            units, found = [], []
             for unit, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if unit not in seen:
                     seen.add(unit)
-                    for found, _, _ in segments(content.as_py(), length, k_run):
-                        found = np.unique(found)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), unit)), pa.array(found)], schema=anchor_arrow)
+                    parts = [part for part, _, _ in segments(content.as_py(), length, k_run)]
+                    if parts:
+                        found.append(np.unique(np.concatenate(parts)))
+                        units.append(np.full(len(found[-1]), unit))
+            if found:
+                yield _grouped(np.concatenate(found), np.concatenate(units), anchor_arrow)
 
     pairs = bounded_batches(docs.select("unit", "text")).mapInArrow(anchors, anchor_schema)
     texts = Window.partitionBy("anchor")
-    counted = pairs.select("unit", "anchor", *(f("unit").over(texts).alias(n) for n, f in (("low", F.min), ("high", F.max), ("n", F.count))))
-    shared = counted.where("low <> high").groupBy("unit").agg(
+    least, most = F.least("unit", F.array_min("others")), F.greatest("unit", F.array_max("others"))
+    count = F.sum(F.when(F.col("others").isNull(), 1).otherwise(F.size("others") + 1))
+    counted = pairs.select("unit", "others", "anchor", *(f.over(texts).alias(n) for n, f in (("low", F.min(least)), ("high", F.max(most)), ("n", count))))
+    counted = counted.where("low <> high").select("anchor", "low", "high", "n", F.explode(F.concat(F.array("unit"), F.coalesce("others", F.array().cast("array<bigint>")))).alias("unit"))
+    shared = counted.groupBy("unit").agg(
         F.collect_set(F.when(F.col("n") <= common, F.col("anchor"))).alias("some"),
         F.collect_set(F.when(F.col("n") > common, F.col("anchor"))).alias("many"),
     )
@@ -318,14 +327,35 @@ def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id", le
 
     def rest(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            table = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "marks")), strict=True)
-            rows = ((i, len(t), *cut_out(t, m if len(t) >= length else None, length)) for i, t, m in table)
-            yield from batches(rows, out_arrow)
+            marks = batch.column("marks")
+            edges = marks.offsets.to_numpy()
+            fields = [marks.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "windows", "bits")]
+
+            def rows():
+                for k, (ident, content) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text"))):
+                    content = content.as_py()
+                    own = slice(edges[k], edges[k + 1] if len(content) >= length else edges[k])
+                    yield ident, len(content), *cut_out(content, *(f[own] for f in fields), length)
+
+            yield from batches(rows(), out_arrow)
 
     joined = dealt.join(by_text, ["id", "unit"], "left").select("doc_id", "text", "marks")
     return joined.mapInArrow(rest, out_schema)
 
 
+def _grouped(anchors: np.ndarray, units: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+    """A row for each anchor with the first of its units and a list of the others, null without any."""
+    order = np.lexsort((units, anchors))
+    anchors, units = anchors[order], units[order]
+    first = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1])))
+    more = np.diff(np.append(first, len(anchors))) - 1
+    rest = np.ones(len(anchors), bool)
+    rest[first] = False
+    offsets = np.concatenate(([0], np.cumsum(more))).astype(np.int32)
+    others = pa.ListArray.from_arrays(pa.array(offsets), pa.array(units[rest]), mask=pa.array(more == 0))
+    return pa.RecordBatch.from_arrays([pa.array(anchors[first]), pa.array(units[first]), others.cast(schema.field(2).type)], schema=schema)
+
+
 def _unfolded(first: np.ndarray, windows: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.cumsum(windows) + windows, windows) + np.arange(int(windows.sum()))
 
