@@ -14,6 +14,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ SELVES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 SETTLED = re.compile(r"[^\x00-\u0557]")
 
 WIDEST = 64
-HELD = 8 << 20
+HELD = 6 << 20
 STEP_CHARS = 1 << 20  # texts that are encoded together
 EMPTY = np.int32((1 << 31) - 1)
 
@@ -231,8 +232,7 @@ class Vocabulary:
         if self.size > HELD:
             self._forget()
         cut = [self.words(t) for t in texts]
-        number = self.numbers.__getitem__
-        used = np.fromiter((number(w) for part in cut for w in part), np.int64, sum(map(len, cut)))
+        used = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
         self._learn()
         counts = self.counts[used]
         ends = np.cumsum(counts)
