@@ -145,11 +145,11 @@ QUERIES = {
 
 def _clusters_sql(rounds: int = 5) -> str:
     """The rounds written out: centroids c0, assignment a1, centroids c1, and so on."""
-    far = "list_sum(list_transform(list_zip(k.v, c.v), z -> (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    far = "list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
     parts = [
         """kept AS (
-            SELECT vec_id, row_number() OVER () AS own, list_transform(embedding, x -> floor(256::DOUBLE * x::DOUBLE)::BIGINT) AS v
-            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = 64
+            SELECT vec_id, row_number() OVER () AS own, list_transform(embedding, lambda x: floor(256::DOUBLE * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
         ), c0 AS (
             SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c, v FROM kept
             ORDER BY sha256('2:' || vec_id), v LIMIT 40
