@@ -23,8 +23,7 @@ from chronofold.llm.common import bounded_batches, materialized, whole_text
 
 # Bounds of the sample of each language: documents, characters of one document, letters in all.
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LETTERS = 96, 1500, 40_000
-LETTERS = 60  # the letters that have symbols of their own; others share a few
-SHARED = 3
+LETTERS = 60  # letters with a column in the tables of transitions; those of other letters are looked up by key
 STRETCH = 256
 NEW = 1 << 30  # marks a transition that begins a phrase
 NO_LETTER = "und"
@@ -66,34 +65,58 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 class Parser:
-    """What is learned: symbols of letters and, for each language, the automaton as a table with its bits per phrase."""
+    """What is learned: a symbol for every letter of the samples and, for each language, its automaton with its bits per phrase.
+
+    Transitions by the most frequent letters are a table, which a script with few letters fits into as a whole. The others
+    are sorted keys of state and symbol. Letters that no sample has share a symbol without transitions: each is a phrase.
+    """
 
     def __init__(self, samples: dict[str, str]) -> None:
-        common = [c for c, _ in Counter("".join(samples.values())).most_common(LETTERS)]
-        self.own = np.array([ord(c) for c in common], np.uint32)
-        self.width = len(common) + SHARED + 1  # the last symbol fills up stretches
+        common = [c for c, _ in Counter("".join(samples.values())).most_common()]
+        order = np.argsort(np.array([ord(c) for c in common], np.uint32))
+        self.points, self.numbers = np.array([ord(c) for c in common], np.uint32)[order], order
+        self.dense = min(len(common), LETTERS)
+        self.fill = len(common) + 1  # fills up stretches; the symbol before it is that of unseen letters
+        self.width = self.dense + 1  # columns of the table; the last one keeps the state
         self.languages = sorted(samples)
-        self.tables, self.bits = [], []
+        self.tables, self.sparse, self.bits = [], [], []
         for language in self.languages:
             symbols = self.symbols(samples[language]).tolist()
             go = suffix_automaton(symbols)
             start = np.full(self.width, NEW, np.int32)
             for c, state in go[0].items():
-                start[c] = NEW | state
+                if c < self.dense:
+                    start[c] = NEW | state
             table = np.tile(start, (len(go), 1))
+            table[:, -1] = np.arange(len(go))
+            keys = {}
             for state, edges in enumerate(go):
                 for c, to in edges.items():
-                    table[state, c] = to
-            table[:, -1] = np.arange(len(go))
+                    if c < self.dense:
+                        table[state, c] = to
+                    else:
+                        keys[state << 32 | c] = to
             self.tables.append(table.ravel())
+            found = np.array(sorted(keys), np.int64)
+            self.sparse.append((found, np.array([keys[k] for k in found.tolist()], np.int32)))
             self.bits.append(float(np.log2(len(symbols) + 2)))
 
     def symbols(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        order = np.argsort(self.own)
-        place = np.searchsorted(self.own[order], points).clip(max=len(self.own) - 1)
-        hit = self.own[order][place] == points
-        return np.where(hit, order[place], len(self.own) + points % SHARED).astype(np.uint8)
+        place = np.searchsorted(self.points, points).clip(max=len(self.points) - 1)
+        return np.where(self.points[place] == points, self.numbers[place], len(self.points)).astype(np.int32)
+
+    @staticmethod
+    def _by_key(keys: np.ndarray, goals: np.ndarray, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Where rare letters lead: on, or into a new phrase that begins with them, or with nothing known after them."""
+        out = np.full(len(state), NEW, np.int32)
+        if len(keys):
+            for begin, mark in ((np.zeros_like(state), NEW), (state, 0)):
+                wanted = begin.astype(np.int64) << 32 | symbols
+                at = np.searchsorted(keys, wanted).clip(max=len(keys) - 1)
+                hit = keys[at] == wanted
+                out[hit] = goals[at[hit]] | mark
+        return out
 
     def needs(self, texts: list[str]) -> np.ndarray:
         """Bits that each language needs for each whole text: texts by languages."""
@@ -102,18 +125,25 @@ class Parser:
         stretches = -(-sizes // STRETCH)
         owner = np.repeat(np.arange(len(texts)), stretches)
         ends = np.cumsum(stretches)
-        grid = np.full(len(owner) * STRETCH, self.width - 1, np.uint8)
+        grid = np.full(len(owner) * STRETCH, self.fill, np.int32)
         first = np.repeat((ends - stretches) * STRETCH, sizes)
         grid[first + np.arange(len(coded)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = coded
-        columns = np.ascontiguousarray(grid.reshape(-1, STRETCH).T).astype(np.int32)
+        columns = np.ascontiguousarray(grid.reshape(-1, STRETCH).T)
+        others = (columns >= self.dense) & (columns < self.fill)
+        rare = [np.flatnonzero(row) if any_ else None for row, any_ in zip(others, others.any(axis=1))]
+        # In the table, letters that are looked up by key take the column that keeps the state.
+        tabled = np.minimum(columns, self.dense)
         out = np.zeros((len(texts), len(self.tables)))
-        for k, (table, bits) in enumerate(zip(self.tables, self.bits)):
+        for k, (table, (keys, goals), bits) in enumerate(zip(self.tables, self.sparse, self.bits)):
             state = np.zeros(len(owner), np.int32)
             phrases = np.ones(len(owner), np.int32)
-            for symbols in columns:
+            for symbols, seldom, full in zip(tabled, rare, columns):
+                kept = None if seldom is None else state[seldom]
                 state *= self.width
                 state += symbols
                 step = table[state]
+                if kept is not None:
+                    step[seldom] = self._by_key(keys, goals, kept, full[seldom])
                 phrases += step >> 30
                 state = step & (NEW - 1)
             out[:, k] = np.bincount(owner, phrases, len(texts)) * bits
@@ -149,9 +179,10 @@ def identify(
     """doc_id, lang_pred, score for every row of `df`; only its id and text are read.
 
     `train` has labelled rows; the sample per language is bounded by `docs`, `chars` and `total`. `und` with score 0 if a
-    text is null or without letters, or if nothing could be learned. Score: the share of the winner if every 8 bits
+    text is null or without letters, or if nothing could be learned. Parsing begins anew every `STRETCH` = 256 letters, so a
+    longest match ends there and a text has a phrase more per stretch, in every language alike. Score: the share of the winner if every 8 bits
     fewer make a language twice as likely. Rows without an id are not learned
-    from. Repeated rows are rows of their own, ties go to the first language by name.
+    from. Repeated rows are rows of their own, ties go to the first language by name. An empty table stays empty.
     """
     schema = StructType([StructField("doc_id", df.schema[id_col].dataType), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     parser = learn(train, text, id_col, lang, docs, chars, total)
