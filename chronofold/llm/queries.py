@@ -143,6 +143,82 @@ QUERIES = {
 }
 
 
+def _repair_sql() -> str:
+    """Every conversation from its last row to its first: the least (cost, audit, lines) from each of the four states.
+
+    States: nothing yet, after the system turn, after a user turn, after an assistant turn. CRC-32 is worked out bit by bit.
+    """
+    names = {0: "user", 1: "user", 2: "assistant", 3: "user"}
+    then = {0: 2, 1: 2, 2: 3, 3: 2}
+
+    def option(to: int, cost: str, letter: str, line: str, allowed: str = "true") -> str:
+        dear = f"g{to}.c + {cost} + CASE WHEN {allowed} THEN 0 ELSE 1000000 END"
+        return f"{{'c': {dear}, 'a': '{letter}' || g{to}.a, 't': {line} || g{to}.t}}"
+
+    def rows_from(q: int) -> str:
+        kept = "role || ':' || text || chr(10)"
+        short = "CASE WHEN fault = 1 THEN 3 ELSE 0 END"
+        own = f"fault < 2 AND initial = '{names[q][0]}'"
+        options = [
+            option(q, "4", "D", "''"),
+            option(then[q], short, "K", kept, own),
+            option(then[q], f"3 + {short}", "R", f"'{names[q]}:' || text || chr(10)", "fault < 2"),
+        ]
+        if q == 0:
+            options.append(option(1, short, "K", kept, "fault < 2 AND initial = 's'"))
+        return f"list_min([{', '.join(options)}]) AS g{q}"
+
+    step = f"SELECT conv, i, {', '.join(map(rows_from, range(4)))} FROM (SELECT dp.* REPLACE (r.i AS i), r.role, r.text, r.fault, r.initial FROM dp JOIN rows r ON r.conv IS NOT DISTINCT FROM dp.conv AND r.i = dp.i - 1)"
+    for _ in range(3):
+        inserted = (f"""list_min([g{q}, {option(then[q], "3", "I", f"'{names[q]}:' || chr(10)")}]) AS g{q}""" for q in range(4))
+        step = f"SELECT conv, i, {', '.join(inserted)} FROM ({step})"
+    return rf"""
+        WITH RECURSIVE source AS (
+            SELECT conv_id AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+            FROM conversations
+        ), numbered AS (
+            SELECT *, xor(list_reduce(
+                list_concat([4294967295::BIGINT], list_transform(string_split(key, ''), lambda c: ascii(c)::BIGINT)),
+                lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)),
+                    lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))
+            ), 4294967295::BIGINT) % 20 AS kind
+            FROM source
+        ), damaged AS (
+            SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM numbered WHERE kind <> 0)
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+        ), rows AS (
+            SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) AS before,
+                   NOT regexp_matches(text, '[^ 	-]') AS blank,
+                   row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again,
+                   NOT regexp_matches(text, '[.!?][ 	-]*$') AS short,
+                   CASE WHEN blank OR again THEN 2 WHEN short THEN 1 ELSE 0 END AS fault
+            FROM placed
+        ), dp AS (
+            SELECT conv, max(i) + 1 AS i, {{'c': 0, 'a': '', 't': ''}} AS g0,
+                   {{'c': 6, 'a': 'II', 't': 'user:' || chr(10) || 'assistant:' || chr(10)}} AS g1,
+                   {{'c': 3, 'a': 'I', 't': 'assistant:' || chr(10)}} AS g2, {{'c': 0, 'a': '', 't': ''}} AS g3
+            FROM rows GROUP BY conv
+            UNION ALL
+            {step}
+        ), counts AS (
+            SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+                   count(*) FILTER (NOT blank AND again) AS duplicate, count(*) FILTER (NOT blank AND NOT again AND short) AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM rows GROUP BY conv
+        )
+        SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(g0.c, 0)::BIGINT AS cost,
+               coalesce(g0.a, '') AS audit, sha256(left(coalesce(g0.t, ''), greatest(length(coalesce(g0.t, '')) - 1, 0))) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counts c ON c.conv IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN (SELECT * FROM dp WHERE i = 1) d ON d.conv IS NOT DISTINCT FROM o.conv_id
+    """
+
+
 def _clusters_sql(rounds: int = 5) -> str:
     """The rounds written out: centroids c0, assignment a1, centroids c1, and so on."""
     far = "list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
@@ -250,4 +326,5 @@ ORACLE_SQL = {
         FROM normal
     """,
     "op11_clusters": _clusters_sql(),
+    "op13_conversations": _repair_sql(),
 }
