@@ -4,7 +4,7 @@ Sets get a SimHash fingerprint and `BANDS` hashes of `ROWS` minima each; a pair
 probability of 1 - 3e-6, and its fingerprints differ in 10 bits on average, in more than `RADIUS` for one pair in 500. Sets
 that share a hash are a bucket. Buckets are first compared with a few of their own members, then searched by the Gray-order
 index of `simhash` for pairs within the radius that are not connected yet; every pair found is compared by all its shingles
-before it counts. A round takes the `NEAREST` pairs of each text, the next one four times as many, until no untried pair
+before it counts. A round takes the `NEAREST` pairs of each text, the next one sixteen times as many, until no untried pair
 of unconnected texts is left. So no text has a limit on its partners, and in a group of copies few pairs are ever made. A
 bucket of more than `BUCKET` sets is dealt out again by its further hashes; a pair of similarity 0.8 shares two of them with
 a probability of 0.99995, three with 0.9995.
@@ -26,7 +26,7 @@ from chronofold.llm.common import Scratch, bounded_batches, materialized, row_ke
 from chronofold.llm.graph import components
 from chronofold.llm.simhash import BUCKET, LOWER, SEED, GrayIndex
 
-WORDS, BANDS, ROWS, RADIUS, HUBS, NEAREST = 5, 24, 4, 18, 3, 4
+WORDS, BANDS, ROWS, RADIUS, HUBS, NEAREST = 5, 24, 4, 18, 3, 16
 _DRAWN = np.random.default_rng(SEED)
 FACTORS = _DRAWN.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _DRAWN.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -237,7 +237,7 @@ def near_copy_links(made: DataFrame, read_sets: Callable[[DataFrame], DataFrame]
         known = members.join(labels, "node", "left").select("bucket", "node", "n", "fp", F.coalesce("label", "node").alias("component"))
         spread = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         pairs = nearest_pairs(known.join(spread, "bucket", "left_semi"), nearest)
-        nearest *= 4
+        nearest *= 16
 
 
 def drop_near_copies(df: DataFrame, text: str = "text", id_col: str = "doc_id", bucket: int = BUCKET, nearest: int = NEAREST) -> DataFrame:
