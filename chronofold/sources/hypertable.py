@@ -71,14 +71,17 @@ def write_generation(
     """Write rows that carry their folder columns as the next generation; returns its manifest rows (not published).
 
     The rebalance brings the rows of a chunk together, and cuts a chunk that is larger than the advisory partition size
-    into several tasks, so a chunk or hash bucket that holds most of the data is written in parallel.
+    into several tasks, so a chunk or hash bucket that holds most of the data is written in parallel. Sorted rows are dealt
+    by ranges of chunk and sort columns, whose ends Spark samples: the files of a large chunk have ranges of their own, so
+    their statistics can skip whole files, and small neighbours are put together by their bytes.
     """
     parts = table.partition_columns(layout)
     table.refuse_if_published()
     target = table.folder.url(table.generation(layout, table.next_version))
-    out = df.hint("rebalance", *parts)
     if sort:
-        out = out.sortWithinPartitions(*parts, *sort)
+        out = df.repartitionByRange(*parts, *sort).sortWithinPartitions(*parts, *sort)
+    else:
+        out = df.hint("rebalance", *parts)
     writer = out.write.mode("errorifexists").partitionBy(*parts)
     if compressed:
         writer = writer.option("compression", "zstd")

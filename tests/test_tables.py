@@ -465,3 +465,25 @@ def test_purge_removes_unfinished_work_and_keeps_live_rows(spark, table_path):
     assert cf.scan(spark, table_path).count() == 48
     cf.append(hours(spark, 10, 48), table_path)
     assert same_rows(cf.scan(spark, table_path), hours(spark, 58))
+
+
+def test_files_of_a_large_chunk_have_key_ranges_of_their_own(spark, table_path):
+    rows = spark.range(20_000).select(
+        F.timestamp_add("SECOND", F.col("id"), F.lit("2026-06-01").cast("timestamp")).alias("time"),
+        F.concat(F.lit("k"), F.lpad((F.hash("id") % 500).cast("string"), 4, "0")).alias("key"),
+    )
+    cf.create_hypertable(rows, table_path, TableSpec("time", chunk="1 day", segment_by="key", order_by=["time"]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cf.compress_chunks(spark, table_path)
+        cf.append(rows, table_path)
+        cf.reorder(spark, table_path, ["key", "time"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = cf.scan(spark, table_path).select("key", "time", F.col("_metadata.file_path").alias("file"))
+    key = F.struct("key", "time")
+    ranges = stored.groupBy("file").agg(F.min(key).alias("low"), F.max(key).alias("high")).collect()
+    for part in ("c000.zstd", "c000.snappy"):  # compressed, reordered
+        mine = sorted((r["low"], r["high"]) for r in ranges if part in r["file"])
+        assert len(mine) >= 3 and all(a[1] < b[0] for a, b in zip(mine, mine[1:]))
+    assert stored.count() == 40_000
