@@ -30,7 +30,10 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     `captures` has id, url, time (long), status, etag, last_modified and headers (map, names in lower case). Status 304 is a
     revisit. resolved_id is the latest full response (200) of the URL before it in time, then id; a full response is its own. It is valid if each
     validator that both have is equal; else, and without an earlier response, resolved_id is null. A null URL has no
-    canonical form and resolves nothing. Headers are the response's with those the revisit may update.
+    canonical form and resolves nothing. Headers are the response's with those the revisit may update. A null time counts as
+    0. Repeated rows are captures of their own, of one time and id in any order. Other columns of `captures` are not read, so
+    their names don't matter; an empty table gives no rows. A busy URL is cut into stretches of `STRETCH` units of time, so
+    the unit should be such that a stretch of one URL fits a task: seconds, or the order of the captures.
     """
     rows = captures.select(
         "id", canonical_url(F.col("url")).alias("canonical_url"), F.coalesce("time", F.lit(0)).alias("time"), (F.col("status") == 304).alias("revisit"),

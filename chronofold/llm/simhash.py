@@ -207,7 +207,8 @@ def near_duplicates(
     """One row per row of `df`: doc_id, fingerprint (16 hex digits), component_id, and key and component for `drop_near`.
 
     Null and wordless texts have the fingerprint zero, which is linked like any other. component_id is the smallest id that
-    links reach, null where all are null. Repeated rows are rows of their own. Other columns of `df` are not read.
+    links reach, null where all are null. Repeated rows are rows of their own. Other columns of `df` are not read. An empty
+    table stays empty.
     """
     made = materialized(fingerprints(df, text, id_col, words, seed), "simhash")
     fps = materialized(made.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
