@@ -1,4 +1,9 @@
-"""A corpus pipeline: poor documents go, exact and near copies go, sources are mixed to weights, and what is left is packed."""
+"""A corpus pipeline: poor documents go, exact and near copies go, sources are mixed to weights, and what is left is packed.
+
+Every stage takes null and empty texts (a null text is empty, but stays null where the row stays), texts of any length, null
+and repeated ids, repeated rows, further columns of any name that does not begin with two underscores, and empty tables,
+which give empty results. The operators' docstrings say what each case gives.
+"""
 
 from __future__ import annotations
 
