@@ -9,6 +9,8 @@ import pytest
 from pyspark.errors import PySparkException
 
 from chronofold.llm import centroids
+from chronofold.llm.queries import ORACLE_SQL, op11_clusters
+from tests.oracle import connect, differences
 
 SCHEMA = "vec_id long, embedding array<float>, cluster string, distance int"
 
@@ -51,6 +53,10 @@ def test_equals_brute_force_and_ties(spark):
         assert r["inertia"] == sum(d for *_, d in expected)
 
 
+def test_query_equals_sql(spark, sf_dir):
+    assert differences(op11_clusters(spark, sf_dir), connect(sf_dir), ORACLE_SQL["op11_clusters"]) is None
+
+
 def test_rows_that_are_no_vectors_are_left_out(spark):
     good = [1.0, 2.0]
     odd = [None, [], [1.0], [1.0, None], [1.0, float("nan")], [float("inf"), 0.0], [1.0, 2.0, 3.0]]

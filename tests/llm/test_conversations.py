@@ -10,7 +10,8 @@ import pytest
 import xxhash
 
 from chronofold.llm import conversations
-from chronofold.llm.queries import op13_conversations
+from chronofold.llm.queries import ORACLE_SQL, op13_conversations
+from tests.oracle import connect, differences
 
 PATTERN = re.compile("(s?(ua)+)?")
 BLANKS = " \t\n\x0b\f\r"
@@ -156,6 +157,10 @@ def test_query_equals_brute_force(spark, sf_dir):
     assert reports(got) == {conv: brute_report(kept) for conv, kept in brute_damage(rows).items()}
 
 
+def test_query_equals_sql(spark, sf_dir):
+    assert differences(op13_conversations(spark, sf_dir), connect(sf_dir), ORACLE_SQL["op13_conversations"]) is None
+
+
 def test_damage_keeps_conversations_that_lose_all_rows(spark):
     rows = [(conv, turn, None, None, None) for conv in (None, *range(300)) for turn in (None, conv)]
     changed, dropped = conversations.damaged(spark.createDataFrame(rows, SCHEMA))
