@@ -1,10 +1,10 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 Sets get a SimHash fingerprint and `BANDS` hashes of `ROWS` minima each; a pair of similarity 0.8 shares one of these with a
-probability of 1 - 3e-6, and its fingerprints differ in 10 bits on average, in more than `RADIUS` for one pair in 500. Sets
-that share a hash are a bucket. Buckets are first compared with a few of their own members, then searched by the Gray-order
-index of `simhash` for pairs within the radius that are not connected yet; every pair found is compared by all its shingles
-before it counts. A round takes the `NEAREST` pairs of each text, the next one sixteen times as many, until no untried pair
+probability of 1 - 3e-6, its fingerprints differ in 10 bits on average, in more than `RADIUS` for one pair in 500, and one bit
+of each minimum tells sets of low similarity apart, losing one pair of similarity 0.8 in 20,000. Sets that share a hash are a
+bucket. Buckets are first compared with a few of their own members, then searched by the Gray-order index of `simhash` for
+pairs within both radii that are not connected yet; every pair found is compared by all its shingles before it counts. A round takes the `NEAREST` pairs of each text, the next one sixteen times as many, until no untried pair
 of unconnected texts is left. So no text has a limit on its partners, and in a group of copies few pairs are ever made. A
 bucket of more than `BUCKET` sets is dealt out again by its further hashes; a pair of similarity 0.8 shares two of them with
 a probability of 0.99995, three with 0.9995.
@@ -27,6 +27,8 @@ from chronofold.llm.graph import components
 from chronofold.llm.simhash import BUCKET, LOWER, SEED, GrayIndex
 
 WORDS, BANDS, ROWS, RADIUS, HUBS, NEAREST = 5, 24, 4, 18, 3, 16
+MINIMA_RADIUS = 21  # of the 96 bits, one for each minimum: 10 differ on average at a similarity of 0.8, 31 at 0.36
+MIXED = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier that mixes 64 bits
 _DRAWN = np.random.default_rng(SEED)
 FACTORS = _DRAWN.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _DRAWN.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -45,13 +47,21 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in pieces), np.uint64, n))
 
 
-def band_hashes(found: np.ndarray) -> np.ndarray:
-    """One hash per band; none for an empty set, which equals no other kind of set."""
-    if not len(found):
-        return found
-    minima = np.fromiter(((found * a + b).min() for a, b in zip(FACTORS, SHIFTS)), np.uint64, len(FACTORS))
-    rows = minima.reshape(BANDS, ROWS)
-    return np.fromiter((xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)), np.uint64, BANDS)
+def minima(found: np.ndarray) -> np.ndarray:
+    return np.fromiter(((found * a + b).min() for a, b in zip(FACTORS, SHIFTS)), np.uint64, len(FACTORS)) if len(found) else found
+
+
+def band_hashes(least: np.ndarray) -> np.ndarray:
+    """One hash per band of minima; none for an empty set, which equals no other kind of set."""
+    rows = least.reshape(-1, ROWS)
+    return np.fromiter((xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)), np.uint64, len(rows))
+
+
+def minima_bits(least: np.ndarray) -> tuple[int, int]:
+    """One bit of every minimum, as two numbers. Bits of a pair differ with half the probability that its minima do."""
+    bits = np.zeros(128, np.uint8)
+    bits[: len(least)] = (least * MIXED) >> np.uint64(63)
+    return tuple(int(w) for w in np.packbits(bits, bitorder="little").view(np.uint64))
 
 
 def set_fingerprint(found: np.ndarray) -> int:
@@ -75,25 +85,28 @@ def node_of(found: np.ndarray) -> int:
 
 
 LONGS = ArrayType(LongType(), False)
+TRAITS = ("n", "fp", "bits", "more")  # what tells unlike sets apart without their shingles
 
 
 def sketches(df: DataFrame, text: str, id_col: str) -> DataFrame:
-    """doc_id, key, node, n (shingles), fp (the fingerprint) and bands for every row: some 300 bytes, however long the text."""
-    longs = [StructField(n, LongType()) for n in ("node", "n", "fp")]
+    """doc_id, key, node, n (shingles), fp (the fingerprint), bits and more (of the minima) and bands for every row.
+
+    These are some 300 bytes, however long the text.
+    """
+    longs = [StructField(n, LongType()) for n in ("node", *TRAITS)]
     schema = StructType([StructField("doc_id", df.schema[id_col].dataType), StructField("key", StringType()), *longs, StructField("bands", LONGS)])
     arrow = to_arrow_schema(schema)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            nodes, sizes, fps, bands = [], [], [], []
+            made, bands = [], []
             for text in batch.column(2):
                 found = shingles(text.as_py())
-                nodes.append(node_of(found))
-                sizes.append(len(found))
-                fps.append(set_fingerprint(found))
-                bands.append(band_hashes(found))
-            columns = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (nodes, sizes, fps)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, lists(bands, arrow.field(5).type)], schema=arrow)
+                least = minima(found)
+                made.append((node_of(found), len(found), set_fingerprint(found), *minima_bits(least)))
+                bands.append(band_hashes(least))
+            columns = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in zip(*made)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, lists(bands, arrow.field("bands").type)], schema=arrow)
 
     whole = whole_text(text)
     return bounded_batches(df.select(F.col(id_col), row_key(id_col, whole), whole.cast("binary"))).mapInArrow(run, schema)
@@ -116,51 +129,53 @@ def sets_of(df: DataFrame, text: str, id_col: str, keys: DataFrame) -> DataFrame
     return bounded_batches(chosen.select("content")).mapInArrow(run, schema).dropDuplicates(["node"])
 
 
-def alike(n: str, m: str, fp: str, gp: str):
-    """Whether sizes and fingerprints leave room for a similarity of 0.8."""
-    close = F.bit_count(F.col(fp).bitwiseXOR(F.col(gp))) <= RADIUS
-    return (F.least(n, m) * 5 >= F.greatest(n, m) * 4) & close
+def alike(other: str):
+    """Whether sizes, fingerprints and bits of the minima leave room for a similarity of 0.8 to the set in column `other`."""
+    n, m = F.col("n"), F.col(f"{other}.n")
+    fp, bits, more = (F.bit_count(F.col(c).bitwiseXOR(F.col(f"{other}.{c}"))) for c in ("fp", "bits", "more"))
+    return (F.least(n, m) * 5 >= F.greatest(n, m) * 4) & (fp <= RADIUS) & (bits + more <= MINIMA_RADIUS)
 
 
 def buckets_of(nodes: DataFrame, scratch: Scratch, bucket: int) -> DataFrame:
-    """bucket, node, n, fp: nodes by shared hashes, large buckets dealt out again; no bucket has a single node."""
+    """bucket, node and traits: nodes by shared hashes, large buckets dealt out again; no bucket has a single node."""
 
     def several(dealt: DataFrame) -> DataFrame:
         size = F.count("*").over(Window.partitionBy("bucket"))
         return scratch.table(dealt.withColumn("size", size).where("size > 1"), "buckets")
 
     # `last` is the number of the last band that a bucket stands for; dealing goes on with those behind it.
-    exploded = nodes.select("node", "n", "fp", F.posexplode("bands").alias("last", "band"))
-    dealt = several(exploded.select(F.xxhash64("last", "band").alias("bucket"), "node", "n", "fp", "last"))
+    exploded = nodes.select("node", *TRAITS, F.posexplode("bands").alias("last", "band"))
+    dealt = several(exploded.select(F.xxhash64("last", "band").alias("bucket"), "node", *TRAITS, "last"))
     settled = dealt.where(F.col("size") <= bucket)
     for _ in range(2):
         large = dealt.where(F.col("size") > bucket)
         if large.isEmpty():
             return settled
-        bands = large.select("bucket", "last", "node", "n", "fp").join(nodes.select("node", "bands"), "node")
-        finer = bands.select("bucket", "last", "node", "n", "fp", F.posexplode("bands").alias("next", "band")).where("next > last")
-        dealt = several(finer.select(F.xxhash64("bucket", "next", "band").alias("bucket"), "node", "n", "fp", F.col("next").alias("last")))
+        bands = large.select("bucket", "last", "node", *TRAITS).join(nodes.select("node", "bands"), "node")
+        finer = bands.select("bucket", "last", "node", *TRAITS, F.posexplode("bands").alias("next", "band")).where("next > last")
+        dealt = several(finer.select(F.xxhash64("bucket", "next", "band").alias("bucket"), "node", *TRAITS, F.col("next").alias("last")))
         settled = settled.unionByName(dealt.where(F.col("size") <= bucket))
     return settled.unionByName(dealt.where(F.col("size") > bucket))
 
 
 def nearest_pairs(members: DataFrame, nearest: int) -> DataFrame:
-    """Pairs a, b of unconnected nodes of a bucket within the radius, the `nearest` ones of each node; a row of nulls where a
-    node has more. `members`: bucket, node, n, fp, component."""
+    """Pairs a, b of unconnected nodes of a bucket within both radii, the `nearest` ones of each node; a row of nulls where a
+    node has more. `members`: bucket, node, traits, component."""
     schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
     arrow = to_arrow_schema(schema)
 
-    def search(node: np.ndarray, n: np.ndarray, fp: np.ndarray, component: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def search(node: np.ndarray, n: np.ndarray, fp: np.ndarray, bits: np.ndarray, more: np.ndarray, component: np.ndarray) -> Iterator[pa.RecordBatch]:
         names, counts = np.unique(component, return_counts=True)
         if len(names) < 2:
             return
         index = GrayIndex(fp.view(np.uint64))
-        node, n, component = node[index.order], n[index.order], component[index.order]
+        node, n, bits, more, component = (c[index.order] for c in (node, n, bits.view(np.uint64), more.view(np.uint64), component))
         truncated = False
         # The largest component is found, it doesn't search.
         for low, high in index.links(RADIUS, searching=component != names[counts.argmax()]):
             room = np.minimum(n[low], n[high]) * 5 >= np.maximum(n[low], n[high]) * 4
-            open_ = room & (component[low] != component[high])
+            off = np.bitwise_count(bits[low] ^ bits[high]) + np.bitwise_count(more[low] ^ more[high])
+            open_ = room & (component[low] != component[high]) & (off <= MINIMA_RADIUS)
             low, high = low[open_], high[open_]
             if not len(low):
                 continue
@@ -189,7 +204,7 @@ def nearest_pairs(members: DataFrame, nearest: int) -> DataFrame:
         if held:
             yield from search(*map(np.concatenate, zip(*held)))
 
-    rows = members.select("bucket", "node", "n", "fp", "component")
+    rows = members.select("bucket", "node", *TRAITS, "component")
     return bounded_batches(rows.repartition("bucket").sortWithinPartitions("bucket")).mapInArrow(run, schema).distinct()
 
 
@@ -198,15 +213,15 @@ def near_copy_links(made: DataFrame, read_sets: Callable[[DataFrame], DataFrame]
 
     `read_sets` gives node and shingles for a table of keys. It is asked for each node once, in the round that first compares it.
     """
-    nodes = made.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min("key").alias("key"))
+    nodes = made.where("n > 0").groupBy("node").agg(*(F.first(c).alias(c) for c in (*TRAITS, "bands")), F.min("key").alias("key"))
     nodes = scratch.table(nodes, "nodes")
-    members = scratch.table(buckets_of(nodes, scratch, bucket).select("bucket", "node", "n", "fp"), "members")
+    members = scratch.table(buckets_of(nodes, scratch, bucket).select("bucket", "node", *TRAITS), "members")
 
-    member = F.struct("node", "n", "fp").alias("hub")
+    member = F.struct("node", *TRAITS).alias("hub")
     drawn = [F.min_by(member, F.xxhash64("node", "bucket", F.lit(k))) for k in range(HUBS)]
     hubs = members.groupBy("bucket").agg(F.array_distinct(F.array(*drawn)).alias("hubs")).select("bucket", F.explode("hubs").alias("hub"))
     with_hubs = members.join(hubs, "bucket").where(F.col("node") != F.col("hub.node"))
-    close = with_hubs.withColumns({"m": F.col("hub.n"), "gp": F.col("hub.fp")}).where(alike("n", "m", "fp", "gp"))
+    close = with_hubs.where(alike("hub"))
     pairs = close.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
     sets = links = tried = labels = None
@@ -234,7 +249,7 @@ def near_copy_links(made: DataFrame, read_sets: Callable[[DataFrame], DataFrame]
         elif not more:
             return labels
         # Buckets whose nodes are all connected are done.
-        known = members.join(labels, "node", "left").select("bucket", "node", "n", "fp", F.coalesce("label", "node").alias("component"))
+        known = members.join(labels, "node", "left").select("bucket", "node", *TRAITS, F.coalesce("label", "node").alias("component"))
         spread = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         pairs = nearest_pairs(known.join(spread, "bucket", "left_semi"), nearest)
         nearest *= 16
