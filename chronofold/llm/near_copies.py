@@ -1,13 +1,17 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Sets get a SimHash fingerprint and `BANDS` hashes of `ROWS` minima each; a pair of similarity 0.8 shares one of these with a
-probability of 1 - 3e-6, its fingerprints differ in 10 bits on average, in more than `RADIUS` for one pair in 500, and one bit
-of each minimum tells sets of low similarity apart, losing one pair of similarity 0.8 in 20,000. Sets that share a hash are a
-bucket. Buckets are first compared with a few of their own members, then searched by the Gray-order index of `simhash` for
-pairs within both radii that are not connected yet; every pair found is compared by all its shingles before it counts. A round takes the `NEAREST` pairs of each text, the next one sixteen times as many, until no untried pair
-of unconnected texts is left. So no text has a limit on its partners, and in a group of copies few pairs are ever made. A
-bucket of more than `BUCKET` sets is dealt out again by its further hashes; a pair of similarity 0.8 shares two of them with
-a probability of 0.99995, three with 0.9995.
+Sets get a SimHash fingerprint, `BANDS` hashes of `ROWS` minima each and an odd sketch: the parities of how many of their
+`KEPT` smallest hashes fall on each of `PARITIES` places. A pair of similarity 0.8 shares a band with a probability of
+1 - 3e-6, and its fingerprints differ in 10 bits on average, in more than `RADIUS` for one pair in 500. Sketches differ in at
+most as many places as the hashes they are of, so that of sets of up to `KEPT` shingles, and of these no pair of similarity 0.8
+is taken for an unlike one; of larger sets the hashes are a sample, whose error has `SPARE` standard deviations of room. Sets
+that share a band are a bucket. Buckets are first compared with a few of their own members, then searched by the Gray-order
+index of `simhash` for pairs within the radius that are not connected yet. Sketches are held against each other where the
+bucket is, so pairs of unlike sets are never written; every pair that is left is compared by all its shingles before it counts.
+A round takes the `NEAREST` pairs of each text, the next one sixteen times as many, until no untried pair of unconnected texts
+is left. So no text has a limit on its partners, and in a group of copies few pairs are ever made. A bucket of more than
+`BUCKET` sets is dealt out again by its further hashes; a pair of similarity 0.8 shares two of them with a probability of
+0.99995, three with 0.9995.
 """
 
 from __future__ import annotations
@@ -20,14 +24,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from chronofold.llm.common import Scratch, bounded_batches, materialized, row_key, rows_of_keys, whole_text
 from chronofold.llm.graph import components
 from chronofold.llm.simhash import BUCKET, LOWER, SEED, GrayIndex
 
 WORDS, BANDS, ROWS, RADIUS, HUBS, NEAREST = 5, 24, 4, 18, 3, 16
-MINIMA_RADIUS = 21  # of the 96 bits, one for each minimum: 10 differ on average at a similarity of 0.8, 31 at 0.36
+KEPT, PARITIES, SPARE = 512, 1024, 5
+SLOTS = 1 << 20  # of keys; what is broadcast has no more rows
+AT_ONCE = 1 << 16  # pairs whose sketches are in memory at a time
 MIXED = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier that mixes 64 bits
 _DRAWN = np.random.default_rng(SEED)
 FACTORS = _DRAWN.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -57,11 +63,29 @@ def band_hashes(least: np.ndarray) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)), np.uint64, len(rows))
 
 
-def minima_bits(least: np.ndarray) -> tuple[int, int]:
-    """One bit of every minimum, as two numbers. Bits of a pair differ with half the probability that its minima do."""
-    bits = np.zeros(128, np.uint8)
-    bits[: len(least)] = (least * MIXED) >> np.uint64(63)
-    return tuple(int(w) for w in np.packbits(bits, bitorder="little").view(np.uint64))
+def odd_sketch(found: np.ndarray) -> bytes:
+    """The parities of the places that the `KEPT` smallest hashes of a set fall on."""
+    places = (found[:KEPT] * MIXED) >> np.uint64(64 - PARITIES.bit_length() + 1)
+    return np.packbits(np.bincount(places.astype(np.int64), minlength=PARITIES) & 1).tobytes()
+
+
+def most_odd(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """In how many places sketches of sets of `n` and `m` shingles may differ at a similarity of 0.8."""
+    larger = np.maximum(n, m)
+    common = (n + m) * 4 / (9 * larger)  # of the larger set, at least
+    room = np.where(larger > KEPT, SPARE * np.sqrt(KEPT * common * (1 - common)), 0)
+    return np.minimum(n, KEPT) + np.minimum(m, KEPT) - 2 * (common * np.minimum(larger, KEPT) - room) + 1e-6
+
+
+def alike(n: np.ndarray, odd: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For places `a` and `b` of sets: how far their sketches differ, 1 being the most at a similarity of 0.8; above 1 for others."""
+    off = np.full(len(a), 2.0)
+    sized = np.flatnonzero(np.minimum(n[a], n[b]) * 5 >= np.maximum(n[a], n[b]) * 4)
+    for at in range(0, len(sized), AT_ONCE):
+        some = sized[at : at + AT_ONCE]
+        differ = np.bitwise_count(odd[a[some]] ^ odd[b[some]]).sum(axis=1, dtype=np.int64)
+        off[some] = differ / most_odd(n[a[some]], n[b[some]])
+    return off
 
 
 def set_fingerprint(found: np.ndarray) -> int:
@@ -85,27 +109,28 @@ def node_of(found: np.ndarray) -> int:
 
 
 LONGS = ArrayType(LongType(), False)
-TRAITS = ("n", "fp", "bits", "more")  # what tells unlike sets apart without their shingles
+TRAITS = ("n", "fp", "odd")  # what tells unlike sets apart without their shingles
 
 
 def sketches(df: DataFrame, text: str, id_col: str) -> DataFrame:
-    """doc_id, key, node, n (shingles), fp (the fingerprint), bits and more (of the minima) and bands for every row.
+    """doc_id, key, node, n (shingles), fp (the fingerprint), odd (the odd sketch) and bands for every row.
 
-    These are some 300 bytes, however long the text.
+    These are some 400 bytes, however long the text.
     """
-    longs = [StructField(n, LongType()) for n in ("node", *TRAITS)]
-    schema = StructType([StructField("doc_id", df.schema[id_col].dataType), StructField("key", StringType()), *longs, StructField("bands", LONGS)])
+    longs = [StructField(n, LongType()) for n in ("node", "n", "fp")]
+    names = [StructField("doc_id", df.schema[id_col].dataType), StructField("key", StringType())]
+    schema = StructType([*names, *longs, StructField("odd", BinaryType()), StructField("bands", LONGS)])
     arrow = to_arrow_schema(schema)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            made, bands = [], []
+            made, odd, bands = [], [], []
             for text in batch.column(2):
                 found = shingles(text.as_py())
-                least = minima(found)
-                made.append((node_of(found), len(found), set_fingerprint(found), *minima_bits(least)))
-                bands.append(band_hashes(least))
-            columns = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in zip(*made)]
+                made.append((node_of(found), len(found), set_fingerprint(found)))
+                odd.append(odd_sketch(found))
+                bands.append(band_hashes(minima(found)))
+            columns = [*(pa.array(np.array(c, np.uint64).view(np.int64)) for c in zip(*made)), pa.array(odd, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, lists(bands, arrow.field("bands").type)], schema=arrow)
 
     whole = whole_text(text)
@@ -125,67 +150,80 @@ def sets_of(df: DataFrame, text: str, id_col: str, keys: DataFrame) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), lists(sets, arrow.field(1).type)], schema=arrow)
 
     whole = whole_text(text)
-    chosen = df.select(row_key(id_col, whole).alias("key"), whole.cast("binary").alias("content")).join(keys, "key", "left_semi")
+    slot = F.pmod(F.xxhash64("key"), F.lit(SLOTS))
+    # Most texts that aren't asked for stay where they are: only those of a slot that a key has are shuffled to the keys.
+    slots = F.broadcast(keys.select(slot.alias("slot")).distinct())
+    rows = df.select(row_key(id_col, whole).alias("key"), whole.cast("binary").alias("content")).withColumn("slot", slot)
+    chosen = rows.join(slots, "slot", "left_semi").join(keys, "key", "left_semi")
     return bounded_batches(chosen.select("content")).mapInArrow(run, schema).dropDuplicates(["node"])
 
 
-def alike(other: str):
-    """Whether sizes, fingerprints and bits of the minima leave room for a similarity of 0.8 to the set in column `other`."""
-    n, m = F.col("n"), F.col(f"{other}.n")
-    fp, bits, more = (F.bit_count(F.col(c).bitwiseXOR(F.col(f"{other}.{c}"))) for c in ("fp", "bits", "more"))
-    return (F.least(n, m) * 5 >= F.greatest(n, m) * 4) & (fp <= RADIUS) & (bits + more <= MINIMA_RADIUS)
-
-
 def buckets_of(nodes: DataFrame, scratch: Scratch, bucket: int) -> DataFrame:
-    """bucket, node and traits: nodes by shared hashes, large buckets dealt out again; no bucket has a single node."""
+    """bucket and node: nodes by shared hashes, large buckets dealt out again; no bucket has a single node."""
 
     def several(dealt: DataFrame) -> DataFrame:
         size = F.count("*").over(Window.partitionBy("bucket"))
         return scratch.table(dealt.withColumn("size", size).where("size > 1"), "buckets")
 
     # `last` is the number of the last band that a bucket stands for; dealing goes on with those behind it.
-    exploded = nodes.select("node", *TRAITS, F.posexplode("bands").alias("last", "band"))
-    dealt = several(exploded.select(F.xxhash64("last", "band").alias("bucket"), "node", *TRAITS, "last"))
+    exploded = nodes.select("node", F.posexplode("bands").alias("last", "band"))
+    dealt = several(exploded.select(F.xxhash64("last", "band").alias("bucket"), "node", "last"))
     settled = dealt.where(F.col("size") <= bucket)
     for _ in range(2):
         large = dealt.where(F.col("size") > bucket)
         if large.isEmpty():
-            return settled
-        bands = large.select("bucket", "last", "node", *TRAITS).join(nodes.select("node", "bands"), "node")
-        finer = bands.select("bucket", "last", "node", *TRAITS, F.posexplode("bands").alias("next", "band")).where("next > last")
-        dealt = several(finer.select(F.xxhash64("bucket", "next", "band").alias("bucket"), "node", *TRAITS, F.col("next").alias("last")))
+            return settled.select("bucket", "node")
+        bands = large.select("bucket", "last", "node").join(nodes.select("node", "bands"), "node")
+        finer = bands.select("bucket", "last", "node", F.posexplode("bands").alias("next", "band")).where("next > last")
+        dealt = several(finer.select(F.xxhash64("bucket", "next", "band").alias("bucket"), "node", F.col("next").alias("last")))
         settled = settled.unionByName(dealt.where(F.col("size") <= bucket))
-    return settled.unionByName(dealt.where(F.col("size") > bucket))
+    return settled.unionByName(dealt.where(F.col("size") > bucket)).select("bucket", "node")
 
 
-def nearest_pairs(members: DataFrame, nearest: int) -> DataFrame:
-    """Pairs a, b of unconnected nodes of a bucket within both radii, the `nearest` ones of each node; a row of nulls where a
-    node has more. `members`: bucket, node, traits, component."""
+def close_pairs(members: DataFrame, nodes: DataFrame, nearest: int | None) -> DataFrame:
+    """Pairs a, b of unconnected nodes of a bucket (`members`: bucket, node, component) whose traits in `nodes` are close.
+
+    The `nearest` pairs of each node within the radius, and a row of nulls where a node has more; without a number the pairs
+    with `HUBS` members, which are the same in all buckets that they are in.
+    """
     schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
     arrow = to_arrow_schema(schema)
 
-    def search(node: np.ndarray, n: np.ndarray, fp: np.ndarray, bits: np.ndarray, more: np.ndarray, component: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def pairs(node: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        pair = np.stack((node[a], node[b]))
+        return pa.RecordBatch.from_arrays([pa.array(pair.min(axis=0)), pa.array(pair.max(axis=0))], schema=arrow)
+
+    def with_hubs(node: np.ndarray, n: np.ndarray, odd: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for hub in {int((node.view(np.uint64) * FACTORS[k] + SHIFTS[k]).argmin()) for k in range(HUBS)}:
+            others = np.delete(np.arange(len(node)), hub)
+            close = others[alike(n, odd, np.full(len(others), hub), others) <= 1]
+            yield pairs(node, np.full(len(close), hub), close)
+
+    def search(node: np.ndarray, component: np.ndarray, n: np.ndarray, fp: np.ndarray, odd: np.ndarray) -> Iterator[pa.RecordBatch]:
+        odd = np.frombuffer(b"".join(odd), np.uint64).reshape(len(node), -1)
+        if nearest is None:
+            yield from with_hubs(node, n, odd)
+            return
         names, counts = np.unique(component, return_counts=True)
         if len(names) < 2:
             return
         index = GrayIndex(fp.view(np.uint64))
-        node, n, bits, more, component = (c[index.order] for c in (node, n, bits.view(np.uint64), more.view(np.uint64), component))
+        node, component, n, odd = (c[index.order] for c in (node, component, n, odd))
         truncated = False
         # The largest component is found, it doesn't search.
         for low, high in index.links(RADIUS, searching=component != names[counts.argmax()]):
-            room = np.minimum(n[low], n[high]) * 5 >= np.maximum(n[low], n[high]) * 4
-            off = np.bitwise_count(bits[low] ^ bits[high]) + np.bitwise_count(more[low] ^ more[high])
-            open_ = room & (component[low] != component[high]) & (off <= MINIMA_RADIUS)
+            open_ = component[low] != component[high]
             low, high = low[open_], high[open_]
+            off = alike(n, odd, low, high)
+            low, high, off = (c[off <= 1] for c in (low, high, off))
             if not len(low):
                 continue
-            order = np.lexsort((node[high], np.bitwise_count(index.values[low] ^ index.values[high]), low))
+            order = np.lexsort((node[high], off, low))
             low, high = low[order], high[order]
             begins = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
             rank = np.arange(len(low)) - np.repeat(begins, np.diff(np.append(begins, len(low))))
             truncated |= bool((rank >= nearest).any())
-            pair = np.stack((node[low], node[high]))[:, rank < nearest]
-            yield pa.RecordBatch.from_arrays([pa.array(pair.min(axis=0)), pa.array(pair.max(axis=0))], schema=arrow)
+            yield pairs(node, low[rank < nearest], high[rank < nearest])
         if truncated:
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], schema=arrow)
 
@@ -193,7 +231,7 @@ def nearest_pairs(members: DataFrame, nearest: int) -> DataFrame:
         held: list[tuple] = []
         run_of = None
         for batch in stream:
-            bucket, *columns = (c.to_numpy() for c in batch.columns)
+            bucket, *columns = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
             for start, end in zip(edges, [*edges[1:], len(bucket)]):
                 if bucket[start] != run_of:
@@ -204,7 +242,7 @@ def nearest_pairs(members: DataFrame, nearest: int) -> DataFrame:
         if held:
             yield from search(*map(np.concatenate, zip(*held)))
 
-    rows = members.select("bucket", "node", *TRAITS, "component")
+    rows = members.join(nodes.select("node", *TRAITS), "node").select("bucket", "node", "component", *TRAITS)
     return bounded_batches(rows.repartition("bucket").sortWithinPartitions("bucket")).mapInArrow(run, schema).distinct()
 
 
@@ -215,14 +253,8 @@ def near_copy_links(made: DataFrame, read_sets: Callable[[DataFrame], DataFrame]
     """
     nodes = made.where("n > 0").groupBy("node").agg(*(F.first(c).alias(c) for c in (*TRAITS, "bands")), F.min("key").alias("key"))
     nodes = scratch.table(nodes, "nodes")
-    members = scratch.table(buckets_of(nodes, scratch, bucket).select("bucket", "node", *TRAITS), "members")
-
-    member = F.struct("node", *TRAITS).alias("hub")
-    drawn = [F.min_by(member, F.xxhash64("node", "bucket", F.lit(k))) for k in range(HUBS)]
-    hubs = members.groupBy("bucket").agg(F.array_distinct(F.array(*drawn)).alias("hubs")).select("bucket", F.explode("hubs").alias("hub"))
-    with_hubs = members.join(hubs, "bucket").where(F.col("node") != F.col("hub.node"))
-    close = with_hubs.where(alike("hub"))
-    pairs = close.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    members = scratch.table(buckets_of(nodes, scratch, bucket), "members")
+    pairs = close_pairs(members.withColumn("component", F.col("node")), nodes, None)
 
     sets = links = tried = labels = None
     while True:
@@ -249,9 +281,9 @@ def near_copy_links(made: DataFrame, read_sets: Callable[[DataFrame], DataFrame]
         elif not more:
             return labels
         # Buckets whose nodes are all connected are done.
-        known = members.join(labels, "node", "left").select("bucket", "node", *TRAITS, F.coalesce("label", "node").alias("component"))
+        known = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("component"))
         spread = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        pairs = nearest_pairs(known.join(spread, "bucket", "left_semi"), nearest)
+        pairs = close_pairs(known.join(spread, "bucket", "left_semi"), nodes, nearest)
         nearest *= 16
 
 

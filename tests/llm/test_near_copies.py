@@ -121,3 +121,23 @@ def test_near_stage_edge_cases(edge, empty):
     kept = near_copies.drop_near_copies(edge)
     assert kept.columns == edge.columns and kept.count() == len({frozenset(s) for s in brute_sets({k: r[1] for k, r in enumerate(EDGE)}).values()})
     assert near_copies.drop_near_copies(empty).count() == 0
+
+
+def test_unlike_texts_of_a_bucket_are_not_paired(spark):
+    """Copies of a base that is missing, similar by 0.6 to 0.75: buckets give next to no pairs, however many texts they hold."""
+    rng = random.Random(19)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    texts = {}
+    for k in range(120):
+        copy = list(base)
+        for at in rng.sample(range(300), 8):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        texts[k] = " ".join(copy)
+    assert not similar(texts)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    scratch = Scratch(spark, "test-near")
+    nodes = scratch.table(near_copies.sketches(df, "text", "doc_id"), "nodes")
+    members = scratch.table(near_copies.buckets_of(nodes, scratch, near_copies.BUCKET).selectExpr("bucket", "node", "node AS component"), "members")
+    assert members.count() > len(texts)
+    for nearest in (None, 1 << 20):
+        assert near_copies.close_pairs(members, nodes, nearest).count() <= len(texts) // 10
