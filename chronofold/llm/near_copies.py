@@ -9,7 +9,8 @@ that share a band are a bucket. Buckets are first compared with a few of their o
 index of `simhash` for pairs within the radius that are not connected yet. Sketches are held against each other where the
 bucket is, so pairs of unlike sets are never written; every pair that is left is compared by all its shingles before it counts.
 A round takes the `NEAREST` pairs of each text, the next one sixteen times as many, until no untried pair of unconnected texts
-is left. So no text has a limit on its partners, and in a group of copies few pairs are ever made. A bucket of more than
+is left: the round that leaves out none is the last. Of the buckets that two sets share, one alone makes their pair, in one
+direction. So no text has a limit on its partners, and in a group of copies few pairs are ever made. A bucket of more than
 `BUCKET` sets is dealt out again by its further hashes; a pair of similarity 0.8 shares two of them with a probability of
 0.99995, three with 0.9995.
 """
@@ -21,7 +22,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
@@ -31,13 +32,14 @@ from chronofold.llm.graph import components
 from chronofold.llm.simhash import BUCKET, LOWER, SEED, GrayIndex
 
 WORDS, BANDS, ROWS, RADIUS, HUBS, NEAREST = 5, 24, 4, 18, 3, 16
-KEPT, PARITIES, SPARE = 512, 1024, 5
+KEPT, PARITIES, SPARE = 2048, 4096, 5
 SLOTS = 1 << 20  # of keys; what is broadcast has no more rows
-AT_ONCE = 1 << 16  # pairs whose sketches are in memory at a time
+AT_ONCE = 1 << 14  # pairs whose sketches are in memory at a time
 MIXED = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier that mixes 64 bits
 _DRAWN = np.random.default_rng(SEED)
 FACTORS = _DRAWN.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _DRAWN.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+PATH = (1 << BANDS) - 1  # the bits of a bucket that say which bands it stands for
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -115,7 +117,7 @@ TRAITS = ("n", "fp", "odd")  # what tells unlike sets apart without their shingl
 def sketches(df: DataFrame, text: str, id_col: str) -> DataFrame:
     """doc_id, key, node, n (shingles), fp (the fingerprint), odd (the odd sketch) and bands for every row.
 
-    These are some 400 bytes, however long the text.
+    These are some 800 bytes, however long the text.
     """
     longs = [StructField(n, LongType()) for n in ("node", "n", "fp")]
     names = [StructField("doc_id", df.schema[id_col].dataType), StructField("key", StringType())]
@@ -159,7 +161,13 @@ def sets_of(df: DataFrame, text: str, id_col: str, keys: DataFrame) -> DataFrame
 
 
 def buckets_of(nodes: DataFrame, scratch: Scratch, bucket: int) -> DataFrame:
-    """bucket and node: nodes by shared hashes, large buckets dealt out again; no bucket has a single node."""
+    """bucket and node: nodes by shared hashes, large buckets dealt out again; no bucket has a single node.
+
+    The last `BANDS` bits of a bucket are its path: a bit for each band whose hash all its nodes share by way of dealing.
+    """
+
+    def named(hashed: Column, path: Column) -> Column:
+        return hashed.bitwiseAND(F.lit(~PATH)).bitwiseOR(path)
 
     def several(dealt: DataFrame) -> DataFrame:
         size = F.count("*").over(Window.partitionBy("bucket"))
@@ -167,7 +175,7 @@ def buckets_of(nodes: DataFrame, scratch: Scratch, bucket: int) -> DataFrame:
 
     # `last` is the number of the last band that a bucket stands for; dealing goes on with those behind it.
     exploded = nodes.select("node", F.posexplode("bands").alias("last", "band"))
-    dealt = several(exploded.select(F.xxhash64("last", "band").alias("bucket"), "node", "last"))
+    dealt = several(exploded.select(named(F.xxhash64("last", "band"), F.expr("shiftleft(1L, last)")).alias("bucket"), "node", "last"))
     settled = dealt.where(F.col("size") <= bucket)
     for _ in range(2):
         large = dealt.where(F.col("size") > bucket)
@@ -175,16 +183,34 @@ def buckets_of(nodes: DataFrame, scratch: Scratch, bucket: int) -> DataFrame:
             return settled.select("bucket", "node")
         bands = large.select("bucket", "last", "node").join(nodes.select("node", "bands"), "node")
         finer = bands.select("bucket", "last", "node", F.posexplode("bands").alias("next", "band")).where("next > last")
-        dealt = several(finer.select(F.xxhash64("bucket", "next", "band").alias("bucket"), "node", F.col("next").alias("last")))
+        path = F.col("bucket").bitwiseAND(F.lit(PATH)).bitwiseOR(F.expr("shiftleft(1L, next)"))
+        dealt = several(finer.select(named(F.xxhash64("bucket", "next", "band"), path).alias("bucket"), "node", F.col("next").alias("last")))
         settled = settled.unionByName(dealt.where(F.col("size") <= bucket))
     return settled.unionByName(dealt.where(F.col("size") > bucket)).select("bucket", "node")
 
 
+def first_shared(path: int, bands: np.ndarray, settled: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the bucket of this path is the first of those that have both nodes; `settled`: the paths of one band a node is in.
+
+    Buckets of one band come first, by the number of the band; nodes without such a bucket in common meet in the bucket of the
+    first bands that they share.
+    """
+    shared = (bands[a] == bands[b]) @ (1 << np.arange(BANDS))
+    alone = shared & settled[a] & settled[b]
+    if path.bit_count() == 1:
+        return alone & -alone == path
+    first = np.zeros_like(shared)
+    for _ in range(path.bit_count()):
+        first |= (least := shared & -shared)
+        shared ^= least
+    return (alone == 0) & (first == path)
+
+
 def close_pairs(members: DataFrame, nodes: DataFrame, nearest: int | None) -> DataFrame:
     """Pairs a, b of unconnected nodes of a bucket (`members`: bucket, node, component) whose traits in `nodes` are close.
 
-    The `nearest` pairs of each node within the radius, and a row of nulls where a node has more; without a number the pairs
-    with `HUBS` members, which are the same in all buckets that they are in.
+    The `nearest` pairs of each node within the radius, and rows of nulls where a node has more; without a number the pairs
+    with `HUBS` members, which are the same in all buckets that they are in. No pair comes twice.
     """
     schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
     arrow = to_arrow_schema(schema)
@@ -199,7 +225,7 @@ def close_pairs(members: DataFrame, nodes: DataFrame, nearest: int | None) -> Da
             close = others[alike(n, odd, np.full(len(others), hub), others) <= 1]
             yield pairs(node, np.full(len(close), hub), close)
 
-    def search(node: np.ndarray, component: np.ndarray, n: np.ndarray, fp: np.ndarray, odd: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def search(bucket: int, node: np.ndarray, component: np.ndarray, n: np.ndarray, fp: np.ndarray, odd: np.ndarray, *dealt: np.ndarray) -> Iterator[pa.RecordBatch]:
         odd = np.frombuffer(b"".join(odd), np.uint64).reshape(len(node), -1)
         if nearest is None:
             yield from with_hubs(node, n, odd)
@@ -208,14 +234,17 @@ def close_pairs(members: DataFrame, nodes: DataFrame, nearest: int | None) -> Da
         if len(names) < 2:
             return
         index = GrayIndex(fp.view(np.uint64))
-        node, component, n, odd = (c[index.order] for c in (node, component, n, odd))
+        node, component, n, odd, settled, bands = (c[index.order] for c in (node, component, n, odd, dealt[0], np.stack(dealt[1])))
         truncated = False
-        # The largest component is found, it doesn't search.
-        for low, high in index.links(RADIUS, searching=component != names[counts.argmax()]):
-            open_ = component[low] != component[high]
+        # The largest component is found, it doesn't search; of two nodes that search, the lower place does.
+        searching = component != names[counts.argmax()]
+        for low, high in index.links(RADIUS, searching=searching):
+            open_ = (component[low] != component[high]) & (~searching[high] | (low < high))
             low, high = low[open_], high[open_]
             off = alike(n, odd, low, high)
             low, high, off = (c[off <= 1] for c in (low, high, off))
+            here = first_shared(bucket & PATH, bands, settled, low, high)
+            low, high, off = (c[here] for c in (low, high, off))
             if not len(low):
                 continue
             order = np.lexsort((node[high], off, low))
@@ -236,20 +265,28 @@ def close_pairs(members: DataFrame, nodes: DataFrame, nearest: int | None) -> Da
             for start, end in zip(edges, [*edges[1:], len(bucket)]):
                 if bucket[start] != run_of:
                     if held:
-                        yield from search(*map(np.concatenate, zip(*held)))
+                        yield from search(int(run_of), *map(np.concatenate, zip(*held)))
                     held, run_of = [], bucket[start]
                 held.append(tuple(c[start:end] for c in columns))
         if held:
-            yield from search(*map(np.concatenate, zip(*held)))
+            yield from search(int(run_of), *map(np.concatenate, zip(*held)))
 
-    rows = members.join(nodes.select("node", *TRAITS), "node").select("bucket", "node", "component", *TRAITS)
-    return bounded_batches(rows.repartition("bucket").sortWithinPartitions("bucket")).mapInArrow(run, schema).distinct()
+    if nearest is None:
+        rows = members.join(nodes.select("node", *TRAITS), "node").select("bucket", "node", "component", *TRAITS)
+    else:
+        path = F.col("bucket").bitwiseAND(F.lit(PATH))
+        alone = F.coalesce(F.bit_or(F.when(F.bit_count(path) == 1, path)).over(Window.partitionBy("node")), F.lit(0).cast("long"))
+        rows = members.withColumn("settled", alone).join(nodes.select("node", *TRAITS, "bands"), "node")
+        rows = rows.select("bucket", "node", "component", *TRAITS, "settled", "bands")
+    made = bounded_batches(rows.repartition("bucket").sortWithinPartitions("bucket")).mapInArrow(run, schema)
+    return made.distinct() if nearest is None else made
 
 
 def near_copy_links(made: DataFrame, read_sets: Callable[[DataFrame], DataFrame], scratch: Scratch, bucket: int = BUCKET, nearest: int = NEAREST) -> DataFrame:
     """node, label for every node of `made` (sketches) that is linked to another: connected components of similarity 0.8.
 
     `read_sets` gives node and shingles for a table of keys. It is asked for each node once, in the round that first compares it.
+    Links are whole after a round that made all pairs left: what it found can only connect more.
     """
     nodes = made.where("n > 0").groupBy("node").agg(*(F.first(c).alias(c) for c in (*TRAITS, "bands")), F.min("key").alias("key"))
     nodes = scratch.table(nodes, "nodes")
@@ -257,13 +294,13 @@ def near_copy_links(made: DataFrame, read_sets: Callable[[DataFrame], DataFrame]
     pairs = close_pairs(members.withColumn("component", F.col("node")), nodes, None)
 
     sets = links = tried = labels = None
+    searched = False
     while True:
         pairs = scratch.table(pairs, "pairs")
         more, pairs = not pairs.where("a IS NULL").isEmpty(), pairs.where("a IS NOT NULL")
         if tried is not None:
             pairs = scratch.table(pairs.join(tried, ["a", "b"], "left_anti"), "untried")
-        found = labels is None or not pairs.isEmpty()
-        if found:
+        if labels is None or not pairs.isEmpty():
             met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
             missing = met if sets is None else met.join(sets, "node", "left_anti")
             asked = scratch.table(nodes.join(missing, "node", "left_semi").select("key"), "asked")
@@ -278,13 +315,13 @@ def near_copy_links(made: DataFrame, read_sets: Callable[[DataFrame], DataFrame]
             near = judged.where("near").select("a", "b")
             links = near if links is None else links.union(near)
             labels = scratch.table(components(links), "labels")
-        elif not more:
+        if searched and not more:
             return labels
         # Buckets whose nodes are all connected are done.
         known = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("component"))
         spread = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         pairs = close_pairs(known.join(spread, "bucket", "left_semi"), nodes, nearest)
-        nearest *= 16
+        nearest, searched = nearest * 16, True
 
 
 def drop_near_copies(df: DataFrame, text: str = "text", id_col: str = "doc_id", bucket: int = BUCKET, nearest: int = NEAREST) -> DataFrame:

@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 import corpus_pipeline
 from chronofold.llm import near_copies
 from chronofold.llm.common import Scratch
@@ -141,3 +143,55 @@ def test_unlike_texts_of_a_bucket_are_not_paired(spark):
     assert members.count() > len(texts)
     for nearest in (None, 1 << 20):
         assert near_copies.close_pairs(members, nodes, nearest).count() <= len(texts) // 10
+
+
+def copies_of_a_missing_base(seed, words, edits, count):
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+    texts = {}
+    for k in range(count):
+        copy = list(base)
+        for at in rng.sample(range(words), edits):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        texts[k] = " ".join(copy)
+    return texts
+
+
+def members_of(spark, texts, bucket):
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    scratch = Scratch(spark, "test-near")
+    nodes = scratch.table(near_copies.sketches(df, "text", "doc_id"), "nodes")
+    return nodes, scratch.table(near_copies.buckets_of(nodes, scratch, bucket).selectExpr("bucket", "node", "node AS component"), "members")
+
+
+@pytest.mark.parametrize("bucket", [near_copies.BUCKET, 40, 20])
+def test_a_pair_is_made_in_one_of_the_buckets_that_have_it(spark, monkeypatch, bucket):
+    """Also where large buckets are dealt out again; no pair that some bucket has is left out."""
+    texts = copies_of_a_missing_base(23, 300, 3, 60)
+    nodes, members = members_of(spark, texts, bucket)
+    node = {r["doc_id"]: (r["node"], r["fp"]) for r in nodes.collect()}
+    held = {}
+    for r in members.collect():
+        held.setdefault(r["node"], set()).add(r["bucket"])
+    near = [(node[a], node[b]) for a, b in similar(texts)]
+    close = {(min(a, b), max(a, b)) for (a, x), (b, y) in near if held.get(a, set()) & held.get(b, set()) and ((x ^ y) & (2**64 - 1)).bit_count() <= near_copies.RADIUS}
+    assert len(close) > 300
+    monkeypatch.setattr(type(nodes), "distinct", lambda self: self)
+    made = [(r["a"], r["b"]) for r in near_copies.close_pairs(members, nodes, 1 << 20).collect()]
+    assert close <= set(made) and len(made) == len(set(made))
+
+
+def test_unlike_long_texts_of_a_bucket_are_not_paired(spark):
+    """Copies of a missing base that are similar by 0.7 or so, of more shingles than 512."""
+    texts = copies_of_a_missing_base(29, 1500, 25, 60)
+    assert not similar(texts)
+    nodes, members = members_of(spark, texts, near_copies.BUCKET)
+    assert near_copies.close_pairs(members, nodes, 1 << 20).count() <= len(texts) // 10
+
+
+def test_no_round_follows_one_that_made_all_pairs(spark, monkeypatch):
+    texts = copies_of_a_missing_base(31, 300, 4, 60)
+    asked, made = [], near_copies.close_pairs
+    monkeypatch.setattr(near_copies, "close_pairs", lambda members, nodes, nearest: asked.append(nearest) or made(members, nodes, nearest))
+    assert_components(texts, linked(spark, texts, nearest=1 << 20), similar(texts))
+    assert asked == [None, 1 << 20]
